@@ -10,16 +10,19 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weftgraph.functions.types import quoted
 
-ROWS_PER_RANGE = 1 << 18
+ROWS_PER_RANGE = 1 << 20
+SMALLEST_RANGE = 1 << 16
 MAX_RANGES = 1 << 16
 SAMPLES_PER_RANGE = 20
 MAX_SAMPLES = 1_000_000
 MAX_BOUNDS_CHARS = 16 << 20
+BLOCK = 256
 
 _RANGE = "_range"
 _START = "_start"
@@ -46,72 +49,113 @@ def numbered(
     narrow = (frame if keys is None else keys).select(*[quoted(c) for c in dict.fromkeys([*within, *order])])
     if total is None:
         total = narrow.count()
-    ranges = min(MAX_RANGES, -(-total // (rows_per_range or ROWS_PER_RANGE)))
+    ranges = _range_count(frame, total, rows_per_range)
     by = [quoted(c) for c in order]
     if ranges <= 1:
         group = Window.partitionBy(*[quoted(c) for c in within]) if within else Window.partitionBy(F.lit(0))
         return frame.withColumn(into, F.row_number().over(group.orderBy(*by)).cast("bigint") - 1)
 
-    cut = _range_column(narrow, order, ranges, total)
+    bounds = _bounds(narrow, order, ranges, total)
     group = [*within, _RANGE]
-    counts = narrow.withColumn(_RANGE, cut).groupBy(*[quoted(c) for c in group]).agg(F.count(F.lit(1)).alias("_rows"))
+    ranged = _with_range(narrow, bounds)
+    counts = ranged.groupBy(*[quoted(c) for c in group]).agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(*[quoted(c) for c in within]) if within else Window.partitionBy(F.lit(0))
     before = before.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(
         *[quoted(c) for c in group], F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias(_START)
     )
-    # Partition i holds range i, so the numbering needs this one shuffle and no other.
-    placed = frame.withColumn(_RANGE, cut).repartitionById(ranges, F.col(_RANGE))
-    in_range = Window.partitionBy(*[quoted(c) for c in group]).orderBy(*by)
-    ranked = placed.withColumn(into, F.row_number().over(in_range))
-    return (
-        ranked.join(starts, group)
-        .withColumn(into, F.col(_START) + quoted(into) - 1)
-        .select(*[quoted(c) for c in [*frame.columns, into]])
-    )
+    # Partition i holds range i, so this is the only shuffle of the rows. The start of a range
+    # travels with it as a row that sorts first: no join, whatever the number of starts.
+    marked = _with_range(frame, bounds).unionByName(starts, allowMissingColumns=True)
+    placed = marked.repartitionById(ranges, F.col(_RANGE))
+    is_row = F.col(_START).isNull()
+    so_far = Window.partitionBy(*[quoted(c) for c in group]).orderBy(is_row, *by)
+    so_far = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = placed.withColumn(into, F.sum(F.coalesce(F.col(_START), F.lit(1))).over(so_far) - 1)
+    return counted.where(is_row).select(*[quoted(c) for c in [*frame.columns, into]])
 
 
-def _range_column(narrow: DataFrame, order: Sequence[str], ranges: int, total: int) -> Column:
-    """Number of bounds at or below the row, by binary search in a constant array.
+def _range_count(frame: DataFrame, total: int, rows_per_range: int | None) -> int:
+    """As many ranges as their size asks for, and enough of a useful size to keep every core busy."""
+    if rows_per_range:
+        return min(MAX_RANGES, -(-total // rows_per_range))
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return min(MAX_RANGES, max(-(-total // ROWS_PER_RANGE), min(cores, total // SMALLEST_RANGE)))
 
-    The first two columns usually cut the order finely enough. Where the sample
-    shows the same bound twice, a run of equal rows is longer than a range and
-    the bounds are taken from all columns.
-    """
-    for depth in sorted({min(2, len(order)), len(order)}):
-        key = _key(order[:depth])
-        bounds, key_type = _bounds(narrow, key, ranges, total)
-        if len(set(map(json.dumps, bounds))) == len(bounds):
-            break
-    while len(json.dumps(bounds)) > MAX_BOUNDS_CHARS:
-        bounds = bounds[1::2]
-    table = F.from_json(F.lit(json.dumps(bounds)), f"array<{key_type}>")
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
 
-    def probe(at: Column, step: Column) -> Column:
-        # Past the end `get` is null, which leaves the position where it is.
-        return F.when(F.get(table, at + step - F.lit(1)) <= key, at + step).otherwise(at)
+@dataclass(frozen=True)
+class _Bounds:
+    """Where the ranges start, by the leading columns of the order that are needed to tell them apart."""
 
-    # Never null, said so that the join on the range adds no second evaluation as a null filter.
-    return F.coalesce(F.reduce(steps, F.lit(0), probe), F.lit(0))
+    columns: tuple[str, ...]
+    values: list
+    kind: str
 
+    @property
+    def key(self) -> Column:
+        return _key(self.columns)
 
-def _key(order: Sequence[str]) -> Column:
-    if len(order) == 1:
-        return quoted(order[0])
-    return F.struct(*[quoted(c).alias(f"k{i}") for i, c in enumerate(order)])
 
+def _key(columns: Sequence[str]) -> Column:
+    if len(columns) == 1:
+        return quoted(columns[0])
+    return F.struct(*[quoted(c).alias(f"k{i}") for i, c in enumerate(columns)])
 
-def _bounds(narrow: DataFrame, key: Column, ranges: int, total: int) -> tuple[list, str]:
-    """Evenly spaced keys of a sample whose size depends on ``ranges`` only, never on the table."""
+
+def _bounds(narrow: DataFrame, order: Sequence[str], ranges: int, total: int) -> _Bounds:
+    """Evenly spaced keys of a sample whose size depends on ``ranges`` only, never on the table.
+
+    The leading column usually cuts the order finely enough. Where a bound comes
+    twice, a run of equal keys is longer than a range, and more columns are used
+    to cut it.
+    """
     wanted = min(MAX_SAMPLES, SAMPLES_PER_RANGE * ranges)
-    keys = narrow.select(key.alias("k"))
-    sampled = keys.sample(min(1.0, wanted / total), seed=17) if total > wanted else keys
-    ordered = sampled.agg(F.sort_array(F.collect_list(F.struct("k"))).alias("s"))
-    picks = F.transform(
-        F.sequence(F.lit(1), F.lit(ranges - 1)),
-        lambda i: F.get(F.col("s"), F.floor(i * F.size("s") / ranges).cast("int")),
-    )
-    found = ordered.select(F.to_json(F.filter(picks, lambda p: p["k"].isNotNull()), {"ignoreNullFields": "false"}))
-    text = found.first()[0]
-    return [entry["k"] for entry in json.loads(text or "[]")], keys.schema["k"].dataType.simpleString()
+    for depth in sorted({1, min(2, len(order)), len(order)}):
+        keys = narrow.select(_key(order[:depth]).alias("k"))
+        sampled = keys.sample(wanted / total, seed=17) if total > wanted else keys
+        ordered = sampled.agg(F.sort_array(F.collect_list(F.struct("k"))).alias("s"))
+        picks = F.transform(
+            F.sequence(F.lit(1), F.lit(ranges - 1)),
+            lambda i: F.get(F.col("s"), F.floor(i * F.size("s") / ranges).cast("int")),
+        )
+        picks = F.filter(picks, lambda p: p["k"].isNotNull())
+        found = ordered.select(F.to_json(picks, {"ignoreNullFields": "false"})).first()[0]
+        values = [entry["k"] for entry in json.loads(found or "[]")]
+        if len(set(map(json.dumps, values))) == len(values):
+            break
+    while len(json.dumps(values)) > MAX_BOUNDS_CHARS:
+        values = values[1::2]
+    return _Bounds(tuple(order[:depth]), values, keys.schema["k"].dataType.simpleString())
+
+
+def _with_range(frame: DataFrame, bounds: _Bounds) -> DataFrame:
+    """Add the number of bounds at or below each row.
+
+    A binary search in constant arrays, one projection per halving so that all
+    of it is compiled code. Many bounds are searched by blocks, which keeps only
+    one array of them all in the plan.
+    """
+    values, key = bounds.values, bounds.key
+    if len(values) <= BLOCK:
+        table = _constant(values, f"array<{bounds.kind}>")
+        return _search(frame, table, len(values), key, _RANGE)
+    blocks = [values[i : i + BLOCK] for i in range(0, len(values), BLOCK)]
+    heads = _constant([block[0] for block in blocks[1:]], f"array<{bounds.kind}>")
+    found = _search(frame, heads, len(blocks) - 1, key, "_block")
+    found = found.withColumn("_bounds", F.get(_constant(blocks, f"array<array<{bounds.kind}>>"), F.col("_block")))
+    found = _search(found, F.col("_bounds"), BLOCK, key, _RANGE)
+    return found.withColumn(_RANGE, F.col("_block") * BLOCK + F.col(_RANGE)).drop("_block", "_bounds")
+
+
+def _search(frame: DataFrame, table: Column, size: int, key: Column, into: str) -> DataFrame:
+    frame = frame.withColumn(into, F.lit(0))
+    at = F.col(into)
+    for step in (1 << i for i in reversed(range(size.bit_length()))):
+        # Past the end `get` is null, and the position stays.
+        reached = F.get(table, at + F.lit(step - 1)) <= key
+        frame = frame.withColumn(into, F.when(reached, at + F.lit(step)).otherwise(at))
+    return frame
+
+
+def _constant(value: list, kind: str) -> Column:
+    return F.from_json(F.lit(json.dumps(value)), kind)

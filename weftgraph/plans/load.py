@@ -185,16 +185,18 @@ def _store_edges(
     if dangling and options.dangling == "error":
         raise DanglingEdgesError(f"{triplet}: {dangling} edges have an end without a vertex")
     directions = ["source"] if out_only else ["source", "destination"]
-    columns: list = []
-    for direction in directions:
+
+    def arrange(direction: str) -> list:
         arranged = adjacency(
             kept, direction, options.vertex_chunk_size, options.edge_chunk_size, total, options.rows_per_range
         )
-        columns = columns_of(arranged)
         write_chunks(arranged, edge_path(path, triplet, direction), options.file_format, mode)
         label = triplet.source if direction == "source" else triplet.destination
         starts = offsets(kept, direction, sizes[label], options.vertex_chunk_size)
         write_chunks(starts, edge_path(path, triplet, direction, "_offsets"), options.file_format, mode)
+        return columns_of(arranged)
+
+    columns = _together(arrange, directions, options)[0]
     return EdgeReport(triplet.source, triplet.edge, triplet.destination, total, dangling, directions, columns)
 
 
