@@ -15,8 +15,9 @@ import json
 from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from weftgraph.functions.types import quoted
 from weftgraph.spec import Triplet
 
 FILE_FORMATS = ("orc", "parquet")
@@ -56,9 +57,7 @@ def write_chunks(frame: DataFrame, path: str, file_format: str, mode: str) -> No
 def read_chunks(spark: SparkSession, path: str, file_format: str, columns: list[list[str]]) -> DataFrame:
     """Read what ``write_chunks`` wrote, under the column order and types it had."""
     schema = T.StructType([T.StructField(name, T.DataType.fromDDL(kind)) for name, kind in columns])
-    if not columns:
-        raise ValueError("no columns")
-    return spark.read.format(file_format).schema(schema).load(path).select(*[f"`{name}`" for name, _ in columns])
+    return spark.read.format(file_format).schema(schema).load(path).select(*[quoted(name) for name, _ in columns])
 
 
 def columns_of(frame: DataFrame) -> list[list[str]]:
@@ -66,8 +65,8 @@ def columns_of(frame: DataFrame) -> list[list[str]]:
 
 
 def write_manifest(spark: SparkSession, root: str, manifest: dict, mode: str) -> None:
-    row = [(json.dumps(manifest),)]
-    spark.createDataFrame(row, "value string").coalesce(1).write.mode(mode).text(_manifest_path(root))
+    row = spark.range(1, numPartitions=1).select(F.lit(json.dumps(manifest)).alias("value"))
+    row.write.mode(mode).text(_manifest_path(root))
 
 
 def read_manifest(spark: SparkSession, root: str) -> dict:
