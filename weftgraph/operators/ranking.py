@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -79,17 +79,29 @@ class _Bounds:
     """Where the ranges start, by the leading columns of the order that are needed to tell them apart."""
 
     columns: tuple[str, ...]
-    values: list
-    kind: str
+    types: tuple[str, ...]
+    rows: list[tuple]
 
     @property
     def key(self) -> Column:
-        return _key(self.columns)
+        if len(self.columns) == 1:
+            return quoted(self.columns[0])
+        return _struct(self.columns)
 
+    @property
+    def kind(self) -> str:
+        if len(self.columns) == 1:
+            return self.types[0]
+        return "struct<" + ",".join(f"k{i}:{t}" for i, t in enumerate(self.types)) + ">"
+
+    @property
+    def values(self) -> list:
+        if len(self.columns) == 1:
+            return [row[0] for row in self.rows if row[0] is not None]
+        return [{f"k{i}": v for i, v in enumerate(row)} for row in self.rows]
 
-def _key(columns: Sequence[str]) -> Column:
-    if len(columns) == 1:
-        return quoted(columns[0])
+
+def _struct(columns: Sequence[str]) -> Column:
     return F.struct(*[quoted(c).alias(f"k{i}") for i, c in enumerate(columns)])
 
 
@@ -100,23 +112,31 @@ def _bounds(narrow: DataFrame, order: Sequence[str], ranges: int, total: int) ->
     twice, a run of equal keys is longer than a range, and more columns are used
     to cut it.
     """
-    wanted = min(MAX_SAMPLES, SAMPLES_PER_RANGE * ranges)
-    for depth in sorted({1, min(2, len(order)), len(order)}):
-        keys = narrow.select(_key(order[:depth]).alias("k"))
-        sampled = keys.sample(wanted / total, seed=17) if total > wanted else keys
-        ordered = sampled.agg(F.sort_array(F.collect_list(F.struct("k"))).alias("s"))
-        picks = F.transform(
-            F.sequence(F.lit(1), F.lit(ranges - 1)),
-            lambda i: F.get(F.col("s"), F.floor(i * F.size("s") / ranges).cast("int")),
-        )
-        picks = F.filter(picks, lambda p: p["k"].isNotNull())
-        found = ordered.select(F.to_json(picks, {"ignoreNullFields": "false"})).first()[0]
-        values = [entry["k"] for entry in json.loads(found or "[]")]
-        if len(set(map(json.dumps, values))) == len(values):
+    types = [f.dataType.simpleString() for f in narrow.select(*[quoted(c) for c in order]).schema]
+    for depth in sorted({min(2, len(order)), len(order)}):
+        rows = _evenly_spaced(narrow.select(_struct(order[:depth]).alias("k")), ranges, total)
+        needed = next((n for n in range(1, depth + 1) if len({r[:n] for r in rows}) == len(rows)), None)
+        if needed:
             break
-    while len(json.dumps(values)) > MAX_BOUNDS_CHARS:
-        values = values[1::2]
-    return _Bounds(tuple(order[:depth]), values, keys.schema["k"].dataType.simpleString())
+    needed = needed or depth
+    found = _Bounds(tuple(order[:needed]), tuple(types[:needed]), [r[:needed] for r in rows])
+    while len(json.dumps(found.values)) > MAX_BOUNDS_CHARS:
+        found = replace(found, rows=found.rows[1::2])
+    return found
+
+
+def _evenly_spaced(keys: DataFrame, ranges: int, total: int) -> list[tuple]:
+    wanted = min(MAX_SAMPLES, SAMPLES_PER_RANGE * ranges)
+    sampled = keys.sample(wanted / total, seed=17) if total > wanted else keys
+    ordered = sampled.agg(F.sort_array(F.collect_list("k")).alias("s"))
+    picks = F.transform(
+        F.sequence(F.lit(1), F.lit(ranges - 1)),
+        lambda i: F.get(F.col("s"), F.floor(i * F.size("s") / ranges).cast("int")),
+    )
+    # A sample that happens to be empty picks nothing.
+    picks = F.filter(picks, lambda p: p.isNotNull())
+    found = ordered.select(F.to_json(picks, {"ignoreNullFields": "false"})).first()[0]
+    return [tuple(entry.values()) for entry in json.loads(found or "[]")]
 
 
 def _with_range(frame: DataFrame, bounds: _Bounds) -> DataFrame:
