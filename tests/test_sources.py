@@ -144,12 +144,13 @@ def test_epoch_millis_do_not_depend_on_the_session_zone(spark, zone):
     try:
         frame = spark.sql(
             "SELECT TIMESTAMP_NTZ'2024-03-10 02:30:00.123456' AS a, DATE'1969-12-31' AS b, "
-            "TIMESTAMP_NTZ'1969-12-31 23:59:59.5' AS c, timestamp_millis(1710037800123) AS d"
+            "TIMESTAMP_NTZ'1969-12-31 23:59:59.4999' AS c, timestamp_millis(1710037800123) AS d, "
+            "TIMESTAMP_NTZ'9999-12-31 23:59:59.999' AS e"
         )
         row = frame.select(*[cast_to(F.col(f.name), f.dataType, INT).alias(f.name) for f in frame.schema]).first()
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
-    assert tuple(row) == (1710037800123, -86_400_000, -500, 1710037800123)
+    assert tuple(row) == (1710037800123, -86_400_000, -501, 1710037800123, 253402300799999)
 
 
 def test_count_lines(spark, tmp_path):

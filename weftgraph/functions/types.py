@@ -27,6 +27,7 @@ DECLARED_RANGE: dict[str, tuple[int, int]] = {
 }
 
 MILLIS_PER_DAY = 86_400_000
+MILLIS_BEFORE_1970 = 719_162 * MILLIS_PER_DAY
 
 
 def spark_type(declared: str) -> T.DataType:
@@ -59,9 +60,10 @@ def cast_to(column: Column, source: T.DataType, declared: str, on_error: str = "
 def epoch_millis(column: Column, source: T.DataType) -> Column:
     if isinstance(source, T.TimestampType):
         return F.unix_millis(column)
-    days = F.unix_date(column.cast("date")).cast("bigint") * MILLIS_PER_DAY
     if isinstance(source, T.DateType):
-        return days
-    # A timestamp without zone is read field by field, so the session zone plays no part.
-    within_minute = F.floor(F.date_part(F.lit("SECOND"), column) * 1000).cast("bigint")
-    return days + F.hour(column).cast("bigint") * 3_600_000 + F.minute(column).cast("bigint") * 60_000 + within_minute
+        return F.unix_date(column).cast("bigint") * MILLIS_PER_DAY
+    # Counted from year 1 as an interval, so the session zone plays no part and the count is not negative.
+    since = column - F.lit("0001-01-01").cast("timestamp_ntz")
+    seconds = since.cast("bigint")
+    rest = since - F.expr("INTERVAL '1' SECOND") * seconds
+    return seconds * 1000 + (rest * 1000).cast("bigint") - MILLIS_BEFORE_1970
