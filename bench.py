@@ -78,7 +78,7 @@ def main() -> None:
         "keep_edges", lambda: keep_edges(resolved_edges(lines, "src", "dst", orders, parts), scratch)
     )
     for by, index in (("source", orders), ("destination", parts)):
-        timed(f"adjacency_by_{by}", lambda: run(adjacency(kept, by, VERTEX_CHUNK, EDGE_CHUNK)))
+        timed(f"adjacency_by_{by}", lambda: run(adjacency(kept, by, scratch, VERTEX_CHUNK, EDGE_CHUNK)))
         vertices_of = index.count()
         timed(f"offsets_by_{by}", lambda: run(offsets(kept, by, vertices_of, VERTEX_CHUNK)))
     options = LoadOptions(vertex_chunk_size=VERTEX_CHUNK, edge_chunk_size=EDGE_CHUNK)

@@ -69,7 +69,7 @@ def expected_places(whole, by):
 @pytest.mark.parametrize("rows_per_range", [100, None])
 def test_adjacency(graph, by, rows_per_range):
     *_, kept, whole, _ = graph
-    placed = adjacency(kept, by, CHUNK, PIECE, rows_per_range=rows_per_range)
+    placed = adjacency(kept, by, Scratch(kept.sparkSession), CHUNK, PIECE, rows_per_range=rows_per_range)
     got = sorted((tuple(r) for r in placed.collect()), key=lambda r: r[:3])
     assert got == expected_places(whole, by)
 
@@ -95,7 +95,7 @@ def test_a_hub_is_arranged_by_many_tasks(graph):
     from pyspark.sql import functions as F
 
     *_, kept, whole, _ = graph
-    placed = adjacency(kept, "source", CHUNK, PIECE, rows_per_range=200)
+    placed = adjacency(kept, "source", Scratch(kept.sparkSession), CHUNK, PIECE, rows_per_range=200)
     sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
     assert max(sizes) <= 2 * 200
 
@@ -150,4 +150,5 @@ def test_the_wide_rows_of_a_label_are_shuffled_once(spark):
     assert total == 5000
     text = indexed._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange shufflepartitionidpassthrough") == 1
-    assert "Join" not in text
+    assert text.count("Exchange hashpartitioning") == 1  # one row per range
+    assert "BroadcastHashJoin" in text

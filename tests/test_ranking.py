@@ -9,14 +9,16 @@ from pyspark.sql import functions as F
 
 from weftgraph.operators import ranking
 from weftgraph.operators.ranking import numbered
+from weftgraph.scratch import Scratch
 
 
-def check(frame, order, within=(), **options):
-    numbered_rows = numbered(frame, order, "n", within=within, **options).collect()
+def check(frame, order, within=None, **options):
+    scratch = Scratch(frame.sparkSession)
+    numbered_rows = numbered(frame, order, "n", scratch, within=within, **options).collect()
     rows = frame.collect()
     assert len(numbered_rows) == len(rows)
     key = lambda r: tuple((r[c] is not None, r[c]) if r[c] is not None else (False, 0) for c in order)
-    group = lambda r: tuple(r[c] for c in within)
+    group = lambda r: r[within] if within else None
     expected = {}
     for row in sorted(rows, key=key):
         expected.setdefault(group(row), []).append(key(row))
@@ -44,7 +46,7 @@ def skewed(spark):
 @pytest.mark.parametrize("rows_per_range", [60, 400, 1500, 10_000])
 def test_hub_and_copies(skewed, rows_per_range):
     frame = skewed.withColumn("g", F.expr("a div 100L"))
-    check(frame, ["a", "b", "t", "x", "id"], within=["g"], rows_per_range=rows_per_range)
+    check(frame, ["a", "b", "t", "x", "id"], within="g", rows_per_range=rows_per_range)
 
 
 @pytest.mark.parametrize("rows_per_range", [150, 800])
@@ -76,15 +78,23 @@ def test_hot_keys_are_spread(skewed):
 
 def test_empty(spark):
     frame = spark.createDataFrame([], "a bigint")
-    assert numbered(frame, ["a"], "n").collect() == []
+    assert numbered(frame, ["a"], "n", Scratch(spark)).collect() == []
 
 
 def test_one_shuffle_of_the_rows(spark):
     frame = spark.range(1000).select(F.expr("id % 7").alias("a"), "id", F.expr("id % 7 div 2L").alias("g"))
-    plan = numbered(frame, ["a", "id"], "n", within=["g"], rows_per_range=100)
+    plan = numbered(frame, ["a", "id"], "n", Scratch(spark), within="g", rows_per_range=100)
     text = plan._jdf.queryExecution().executedPlan().toString()
     # The rows move once; the other exchanges carry one row per group and range.
-    assert text.count("Exchange shufflepartitionidpassthrough") == 1
-    assert text.count("Exchange hashpartitioning") == 2
-    assert text.count("partial_count") == 1
-    assert "Join" not in text and "SinglePartition" not in text
+    rows, shifts = text.split("BroadcastExchange")
+    assert rows.count("Exchange") == 1 and "Exchange shufflepartitionidpassthrough" in rows
+    assert shifts.count("Exchange hashpartitioning") == 2
+    assert "SinglePartition" not in text
+
+
+def test_many_groups_join_by_a_shuffle(skewed, monkeypatch):
+    monkeypatch.setattr(ranking, "MAX_BROADCAST_ROWS", 2)
+    frame = skewed.withColumn("g", F.expr("a div 5L"))
+    plan = numbered(frame, ["a", "b", "id"], "n", Scratch(frame.sparkSession), within="g", rows_per_range=400)
+    assert "ResolvedHint" not in plan._jdf.queryExecution().analyzed().toString()
+    check(frame, ["a", "b", "id"], within="g", rows_per_range=400)

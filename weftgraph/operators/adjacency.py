@@ -25,6 +25,7 @@ def keep_edges(resolved: DataFrame, scratch: Scratch) -> DataFrame:
 def adjacency(
     edges: DataFrame,
     by: str,
+    scratch: Scratch,
     vertex_chunk_size: int,
     edge_chunk_size: int,
     total: int | None = None,
@@ -43,7 +44,8 @@ def adjacency(
         chunked,
         [near, far, *properties, "edge_row"],
         "pos",
-        within=["vertex_chunk"],
+        scratch,
+        within="vertex_chunk",
         total=total,
         rows_per_range=rows_per_range,
     )

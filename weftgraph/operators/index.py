@@ -51,14 +51,14 @@ def vertex_index(
     counts = key_counts(keys, key)
     if counts.nulls or counts.repeated:
         raise BadKeysError(f"key {key!r}: {counts.nulls} null rows, {counts.repeated} keys held by several rows")
-    indexed = numbered(frame, [key], "vid", keys=keys, total=counts.vertices, rows_per_range=rows_per_range)
+    indexed = numbered(frame, [key], "vid", scratch, keys=keys, total=counts.vertices, rows_per_range=rows_per_range)
     return indexed, counts.vertices
 
 
 def key_index(frame: DataFrame, key: str, scratch: Scratch, rows_per_range: int | None = None) -> DataFrame:
     """The distinct keys of a label with their ``vid``; rows that share a key share its number."""
     keys = scratch.keep(frame.where(quoted(key).isNotNull()).select(quoted(key)).distinct(), "keys")
-    return numbered(keys, [key], "vid", rows_per_range=rows_per_range)
+    return numbered(keys, [key], "vid", scratch, rows_per_range=rows_per_range)
 
 
 def chunk_of(vid: str, size: int):

@@ -12,66 +12,90 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from weftgraph.functions.types import quoted
+from weftgraph.scratch import Scratch
 
-ROWS_PER_RANGE = 1 << 20
+ROWS_PER_RANGE = 1 << 19
 MAX_RANGES = 1 << 16
 SAMPLES_PER_RANGE = 20
 MAX_SAMPLES = 1_000_000
 MAX_BOUNDS_CHARS = 16 << 20
 BLOCK = 256
+MAX_BROADCAST_ROWS = 1_000_000
+# The part of a generated row number that counts rows within a partition.
+PLACE_IN_PARTITION = (1 << 33) - 1
 
 _RANGE = "_range"
-_START = "_start"
+_SHIFT = "_shift"
 
 
 def numbered(
     frame: DataFrame,
     order: Sequence[str],
     into: str,
-    within: Sequence[str] = (),
+    scratch: Scratch,
+    within: str | None = None,
     keys: DataFrame | None = None,
     total: int | None = None,
     rows_per_range: int | None = None,
 ) -> DataFrame:
     """Add the 0-based position of each row by ``order`` (nulls first) among the rows equal in ``within``.
 
-    ``frame`` must give the same rows each time it is run, so pass a table or a
-    kept frame. ``keys`` may be a narrower table with the same ``within`` and
-    ``order`` values, read for the bounds and counts in place of ``frame``.
+    ``within`` must not decrease along ``order``, as the chunk number of the
+    leading column does not. ``frame`` must give the same rows each time it is
+    run, so pass a table or a kept frame. ``keys`` may be a narrower table with
+    the same ``order`` values, read for the bounds and counts in place of
+    ``frame``.
 
     A run of rows equal in all of ``order`` cannot be cut; end ``order`` with a
     unique column where such runs can be long.
     """
-    narrow = (frame if keys is None else keys).select(*[quoted(c) for c in dict.fromkeys([*within, *order])])
+    grouping = [within] if within else []
+    narrow = (frame if keys is None else keys).select(*[quoted(c) for c in dict.fromkeys([*grouping, *order])])
     if total is None:
         total = narrow.count()
     ranges = min(MAX_RANGES, -(-total // (rows_per_range or ROWS_PER_RANGE)))
     by = [quoted(c) for c in order]
     if ranges <= 1:
-        group = Window.partitionBy(*[quoted(c) for c in within]) if within else Window.partitionBy(F.lit(0))
-        return frame.withColumn(into, F.row_number().over(group.orderBy(*by)).cast("bigint") - 1)
+        all_rows = Window.partitionBy(quoted(within) if within else F.lit(0)).orderBy(*by)
+        return frame.withColumn(into, F.row_number().over(all_rows).cast("bigint") - 1)
 
     bounds = _bounds(narrow, order, ranges, total)
-    group = [*within, _RANGE]
-    ranged = _with_range(narrow, bounds)
-    counts = ranged.groupBy(*[quoted(c) for c in group]).agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.partitionBy(*[quoted(c) for c in within]) if within else Window.partitionBy(F.lit(0))
-    before = before.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        *[quoted(c) for c in group], F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias(_START)
+    counts = (
+        _with_range(narrow, bounds)
+        .groupBy(_RANGE, *[quoted(c) for c in grouping])
+        .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    # Partition i holds range i, so this is the only shuffle of the rows. The start of a range
-    # travels with it as a row that sorts first: no join, whatever the number of starts.
-    marked = _with_range(frame, bounds).unionByName(starts, allowMissingColumns=True)
-    placed = marked.repartitionById(ranges, F.col(_RANGE))
-    is_row = F.col(_START).isNull()
-    so_far = Window.partitionBy(*[quoted(c) for c in group]).orderBy(is_row, *by)
-    so_far = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counted = placed.withColumn(into, F.sum(F.coalesce(F.col(_START), F.lit(1))).over(so_far) - 1)
-    return counted.where(is_row).select(*[quoted(c) for c in [*frame.columns, into]])
+    shifts, small = _shifts(counts, within, scratch)
+    # Partition i is range i, in order: the place of a row in its partition is its place in its
+    # range, and this is the only shuffle of the rows.
+    placed = _with_range(frame, bounds).repartitionById(ranges, F.col(_RANGE)).sortWithinPartitions(*by)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit(PLACE_IN_PARTITION))
+    shifted = placed.withColumn(into, place).join(F.broadcast(shifts) if small else shifts, [_RANGE, *grouping])
+    return shifted.withColumn(into, quoted(into) + F.col(_SHIFT)).select(*[quoted(c) for c in [*frame.columns, into]])
+
+
+def _shifts(counts: DataFrame, within: str | None, scratch: Scratch) -> tuple[DataFrame, bool]:
+    """From a row's place in its range to its place in its group, and whether the table may be broadcast.
+
+    Without groups there is one row per range. With them there is one more per
+    group at most, so it is counted; a larger table joins by a shuffle.
+    """
+    if not within:
+        before = Window.partitionBy(F.lit(0)).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+        return counts.select(_RANGE, _sum_of_rows(before).alias(_SHIFT)), True
+    kept = scratch.keep(counts, "counts")
+    group = quoted(within)
+    in_earlier_ranges = Window.partitionBy(group).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    of_earlier_groups = Window.partitionBy(_RANGE).orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
+    shift = _sum_of_rows(in_earlier_ranges) - _sum_of_rows(of_earlier_groups)
+    return kept.select(_RANGE, group, shift.alias(_SHIFT)), kept.count() <= MAX_BROADCAST_ROWS
+
+
+def _sum_of_rows(window: WindowSpec) -> Column:
+    return F.coalesce(F.sum("_rows").over(window), F.lit(0))
 
 
 @dataclass(frozen=True)

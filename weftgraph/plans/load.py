@@ -189,9 +189,10 @@ def _store_edges(
 
     def arrange(direction: str) -> list:
         arranged = adjacency(
-            kept, direction, options.vertex_chunk_size, options.edge_chunk_size, total, options.rows_per_range
+            kept, direction, scratch, options.vertex_chunk_size, options.edge_chunk_size, total, options.rows_per_range
         )
-        write_chunks(arranged, edge_path(path, triplet, direction), options.file_format, mode)
+        in_order = arranged.sortWithinPartitions("vertex_chunk", "pos")
+        write_chunks(in_order, edge_path(path, triplet, direction), options.file_format, mode)
         label = triplet.source if direction == "source" else triplet.destination
         starts = offsets(kept, direction, sizes[label], options.vertex_chunk_size)
         write_chunks(starts, edge_path(path, triplet, direction, "_offsets"), options.file_format, mode)

@@ -459,17 +459,17 @@ def _adjacency_sql(by: str) -> str:
 
 @_query(_adjacency_sql("source"))
 def adjacency_by_source(spark, sf_dir):
-    return adjacency(_kept(spark, CONTAINS), "source", VERTEX_CHUNK, EDGE_CHUNK)
+    return adjacency(_kept(spark, CONTAINS), "source", Scratch(spark), VERTEX_CHUNK, EDGE_CHUNK)
 
 
 @_query(_adjacency_sql("destination"))
 def adjacency_by_destination(spark, sf_dir):
-    return adjacency(_kept(spark, CONTAINS), "destination", VERTEX_CHUNK, EDGE_CHUNK)
+    return adjacency(_kept(spark, CONTAINS), "destination", Scratch(spark), VERTEX_CHUNK, EDGE_CHUNK)
 
 
 @_query(_adjacency_sql("destination"))
 def adjacency_in_ranges(spark, sf_dir):
-    return adjacency(_kept(spark, CONTAINS), "destination", VERTEX_CHUNK, EDGE_CHUNK, rows_per_range=SMALL_RANGE)
+    return adjacency(_kept(spark, CONTAINS), "destination", Scratch(spark), VERTEX_CHUNK, EDGE_CHUNK, rows_per_range=SMALL_RANGE)
 
 
 _SOLD_SQL = "SELECT l_partkey AS part, l_suppkey AS supplier, l_quantity AS quantity, l_discount AS discount FROM lineitem"
@@ -483,7 +483,7 @@ _SOLD_SQL = "SELECT l_partkey AS part, l_suppkey AS supplier, l_quantity AS quan
     f"pos FROM ({_SOLD_SQL})) GROUP BY 1, 2"
 )
 def edge_chunks(spark, sf_dir):
-    placed = adjacency(_kept(spark, SOLD_BY), "destination", VERTEX_CHUNK, EDGE_CHUNK)
+    placed = adjacency(_kept(spark, SOLD_BY), "destination", Scratch(spark), VERTEX_CHUNK, EDGE_CHUNK)
     return placed.groupBy("vertex_chunk", "edge_chunk").agg(
         F.count(F.lit(1)).alias("edges"),
         F.min("pos").alias("first_pos"),
