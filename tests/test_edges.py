@@ -97,7 +97,7 @@ def test_a_hub_is_arranged_by_many_tasks(graph):
     *_, kept, whole, _ = graph
     placed = adjacency(kept, "source", Scratch(kept.sparkSession), CHUNK, PIECE, rows_per_range=200)
     sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
-    assert max(sizes) <= 2 * 200
+    assert max(sizes) <= 2.5 * 200
 
 
 def test_hot_endpoints_are_split_by_the_skew_join(spark, tmp_path):

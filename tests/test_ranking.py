@@ -73,7 +73,7 @@ def test_hot_keys_are_spread(skewed):
     ranged = ranking._with_range(frame, ranking._bounds(frame, ["a", "b", "id"], 8, frame.count()))
     sizes = [r["count"] for r in ranged.groupBy("_range").count().collect()]
     assert len(sizes) == 8
-    assert max(sizes) <= 2 * frame.count() / 8
+    assert max(sizes) <= 2.5 * frame.count() / 8
 
 
 def test_empty(spark):
@@ -88,7 +88,7 @@ def test_one_shuffle_of_the_rows(spark):
     # The rows move once; the other exchanges carry one row per group and range.
     rows, shifts = text.split("BroadcastExchange")
     assert rows.count("Exchange") == 1 and "Exchange shufflepartitionidpassthrough" in rows
-    assert shifts.count("Exchange hashpartitioning") == 2
+    assert shifts.count("Exchange hashpartitioning") == 3
     assert "SinglePartition" not in text
 
 

@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from weftgraph.functions.types import quoted
 from weftgraph.scratch import Scratch
 
-ROWS_PER_RANGE = 1 << 19
+ROWS_PER_RANGE = 1 << 20
 MAX_RANGES = 1 << 16
-SAMPLES_PER_RANGE = 20
+SAMPLES_PER_RANGE = 60
 MAX_SAMPLES = 1_000_000
 MAX_BOUNDS_CHARS = 16 << 20
 BLOCK = 256
@@ -56,42 +56,45 @@ def numbered(
     narrow = (frame if keys is None else keys).select(*[quoted(c) for c in dict.fromkeys([*grouping, *order])])
     if total is None:
         total = narrow.count()
-    ranges = min(MAX_RANGES, -(-total // (rows_per_range or ROWS_PER_RANGE)))
-    by = [quoted(c) for c in order]
-    if ranges <= 1:
-        all_rows = Window.partitionBy(quoted(within) if within else F.lit(0)).orderBy(*by)
-        return frame.withColumn(into, F.row_number().over(all_rows).cast("bigint") - 1)
-
+    ranges = max(1, min(MAX_RANGES, -(-total // (rows_per_range or ROWS_PER_RANGE))))
     bounds = _bounds(narrow, order, ranges, total)
-    counts = (
-        _with_range(narrow, bounds)
-        .groupBy(_RANGE, *[quoted(c) for c in grouping])
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    shifts, small = _shifts(counts, within, scratch)
     # Partition i is range i, in order: the place of a row in its partition is its place in its
     # range, and this is the only shuffle of the rows.
-    placed = _with_range(frame, bounds).repartitionById(ranges, F.col(_RANGE)).sortWithinPartitions(*by)
+    placed = _with_range(frame, bounds).repartitionById(ranges, F.col(_RANGE))
+    placed = placed.sortWithinPartitions(*[quoted(c) for c in order])
     place = F.monotonically_increasing_id().bitwiseAND(F.lit(PLACE_IN_PARTITION))
-    shifted = placed.withColumn(into, place).join(F.broadcast(shifts) if small else shifts, [_RANGE, *grouping])
-    return shifted.withColumn(into, quoted(into) + F.col(_SHIFT)).select(*[quoted(c) for c in [*frame.columns, into]])
-
-
-def _shifts(counts: DataFrame, within: str | None, scratch: Scratch) -> tuple[DataFrame, bool]:
+    placed = placed.withColumn(into, place)
+    if ranges > 1 or within:
+        counts = (
+            _with_range(narrow, bounds)
+            .groupBy(_RANGE, *[quoted(c) for c in grouping])
+            .agg(F.count(F.lit(1)).alias("_rows"))
+        )
+        shifts, small = _shifts(counts, within, total, scratch)
+        placed = placed.join(F.broadcast(shifts) if small else shifts, [_RANGE, *grouping])
+        placed = placed.withColumn(into, quoted(into) + F.col(_SHIFT))
+    return placed.select(*[quoted(c) for c in [*frame.columns, into]])
+
+
+def _shifts(counts: DataFrame, within: str | None, total: int, scratch: Scratch) -> tuple[DataFrame, bool]:
     """From a row's place in its range to its place in its group, and whether the table may be broadcast.
 
     Without groups there is one row per range. With them there is one more per
-    group at most, so it is counted; a larger table joins by a shuffle.
+    group at most, and never more than rows to number; if that is no sufficient
+    bound they are counted. A larger table joins by a shuffle.
     """
     if not within:
         before = Window.partitionBy(F.lit(0)).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
         return counts.select(_RANGE, _sum_of_rows(before).alias(_SHIFT)), True
-    kept = scratch.keep(counts, "counts")
+    small = total <= MAX_BROADCAST_ROWS
+    if not small:
+        counts = scratch.keep(counts, "counts")
+        small = counts.count() <= MAX_BROADCAST_ROWS
     group = quoted(within)
     in_earlier_ranges = Window.partitionBy(group).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     of_earlier_groups = Window.partitionBy(_RANGE).orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
     shift = _sum_of_rows(in_earlier_ranges) - _sum_of_rows(of_earlier_groups)
-    return kept.select(_RANGE, group, shift.alias(_SHIFT)), kept.count() <= MAX_BROADCAST_ROWS
+    return counts.select(_RANGE, group, shift.alias(_SHIFT)), small
 
 
 def _sum_of_rows(window: WindowSpec) -> Column:
@@ -136,6 +139,8 @@ def _bounds(narrow: DataFrame, order: Sequence[str], ranges: int, total: int) ->
     twice, a run of equal keys is longer than a range, and more columns are used
     to cut it.
     """
+    if ranges == 1:
+        return _Bounds((), (), [])
     types = [f.dataType.simpleString() for f in narrow.select(*[quoted(c) for c in order]).schema]
     for depth in sorted({min(2, len(order)), len(order)}):
         rows = _evenly_spaced(narrow.select(_struct(order[:depth]).alias("k")), ranges, total)
@@ -170,6 +175,8 @@ def _with_range(frame: DataFrame, bounds: _Bounds) -> DataFrame:
     of it is compiled code. Many bounds are searched by blocks, which keeps only
     one array of them all in the plan.
     """
+    if not bounds.rows:
+        return frame.withColumn(_RANGE, F.lit(0))
     values, key = bounds.values, bounds.key
     if len(values) <= BLOCK:
         table = _constant(values, f"array<{bounds.kind}>")

@@ -118,17 +118,18 @@ def load_graph(
     write_manifest(spark, path, {"state": "loading"}, mode)
     scratch = Scratch(spark)
     try:
-        stored = dict(
-            _together(lambda v: (v.label, _store_vertices(v, path, mode, options, scratch)), vertices.values(), options)
-        )
+        def store_label(vertex: VertexFrame) -> VertexReport:
+            return _store_vertices(vertex, path, mode, options, scratch)
+
+        stored = dict(zip(vertices, _together(spark, store_label, vertices.values(), options)))
         indexes = {label: _index(spark, path, report, options) for label, report in stored.items()}
         sizes = {label: report.rows for label, report in stored.items()}
 
-        def store(edge: EdgeFrame) -> EdgeReport:
+        def store_triplet(edge: EdgeFrame) -> EdgeReport:
             out_only = schema.pair(edge.triplet).out_only
             return _store_edges(edge, indexes, sizes, out_only, path, mode, options, scratch)
 
-        edge_reports = list(_together(store, edges.values(), options))
+        edge_reports = _together(spark, store_triplet, edges.values(), options)
     finally:
         scratch.discard()
     report = LoadReport(path, list(stored.values()), edge_reports)
@@ -187,22 +188,26 @@ def _store_edges(
         raise DanglingEdgesError(f"{triplet}: {dangling} edges have an end without a vertex")
     directions = ["source"] if out_only else ["source", "destination"]
 
-    def arrange(direction: str) -> list:
+    def store_adjacency(direction: str) -> list:
         arranged = adjacency(
             kept, direction, scratch, options.vertex_chunk_size, options.edge_chunk_size, total, options.rows_per_range
         )
         in_order = arranged.sortWithinPartitions("vertex_chunk", "pos")
         write_chunks(in_order, edge_path(path, triplet, direction), options.file_format, mode)
+        return columns_of(arranged)
+
+    def store_offsets(direction: str) -> list:
         label = triplet.source if direction == "source" else triplet.destination
         starts = offsets(kept, direction, sizes[label], options.vertex_chunk_size)
         write_chunks(starts, edge_path(path, triplet, direction, "_offsets"), options.file_format, mode)
-        return columns_of(arranged)
+        return columns_of(starts)
 
-    columns = _together(arrange, directions, options)[0]
+    parts = [(store, direction) for store in (store_adjacency, store_offsets) for direction in directions]
+    columns = _together(kept.sparkSession, lambda part: part[0](part[1]), parts, options)[0]
     return EdgeReport(triplet.source, triplet.edge, triplet.destination, total, dangling, directions, columns)
 
 
-def _together(work: Callable, tables: Iterable, options: LoadOptions) -> list:
+def _together(spark: SparkSession, work: Callable, tables: Iterable, options: LoadOptions) -> list:
     """Run the jobs of several tables side by side, so that small ones do not leave the cluster idle."""
     with ThreadPoolExecutor(options.tables_at_once) as pool:
-        return list(pool.map(inheritable_thread_target(work), tables))
+        return list(pool.map(inheritable_thread_target(spark)(work), tables))

@@ -15,8 +15,9 @@ from weftgraph.operators.adjacency import adjacency, keep_edges, offsets
 from weftgraph.operators.endpoints import dangling_edges, resolved_edges
 from weftgraph.operators.index import chunk_of, key_index, vertex_index
 from weftgraph.operators.mapping import edge_frame, vertex_frame
+from weftgraph.plans.check import check_sources
 from weftgraph.plans.load import LoadOptions, load_edges, load_graph, load_vertices
-from weftgraph.plans.table_graph import EDGES, VERTICES, register_tables, table_schema, table_spec
+from weftgraph.plans.table_graph import EDGES, INT64, VERTICES, register_tables, table_schema, table_spec
 from weftgraph.scratch import Scratch
 from weftgraph.sinks.graph_files import StoredGraph
 from weftgraph.sources.files import count_lines
@@ -339,6 +340,25 @@ def lost_cells(spark, sf_dir):
     )
 
 
+@_query(
+    "SELECT 'Line' AS name, 'null_keys' AS \"check\", count(*) AS rows FROM lineitem WHERE l_orderkey IS NULL "
+    "UNION ALL SELECT 'Line', 'duplicate_keys', count(*) FROM "
+    "(SELECT l_orderkey FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1) "
+    "UNION ALL SELECT 'Line', 'out_of_range', count(*) FROM lineitem WHERE trunc(l_extendedprice) NOT BETWEEN 0 AND 65535 "
+    "UNION ALL SELECT 'Line', 'lost_cells', count(*) FROM lineitem WHERE l_returnflag IS NOT NULL "
+    "AND try_cast(l_returnflag AS BIGINT) IS NULL"
+)
+def source_checks(spark, sf_dir):
+    columns = (
+        ("l_orderkey", "id", INT64),
+        ("l_extendedprice", "price", "DT_UNSIGNED_INT16"),
+        ("l_returnflag", "flag", INT64),
+    )
+    schema = GraphSchema("lines", (VertexType("Line", tuple(Property(p, t) for _, p, t in columns), ("id",)),))
+    mapping = VertexMapping("Line", ("lineitem",), tuple(ColumnMapping(c, p) for c, p, _ in columns))
+    return check_sources(spark, schema, ImportSpec("lines", DataSource("table"), (mapping,)))
+
+
 # --- index and endpoints ---------------------------------------------------------------------------------------
 
 _BUILDING = (

@@ -11,9 +11,11 @@ import shutil
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
+_open: list[Scratch] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -31,11 +33,14 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """One run's own folder below the shared one."""
+    """One run's own folder below the shared one, deleted when the driver ends at the latest."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = f"{scratch_root(spark).rstrip('/')}/weftgraph-{uuid.uuid4().hex}"
+        # Held here, because it must still work once the session has stopped.
+        self._hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        _open.append(self)
 
     def folder(self, name: str) -> str:
         return f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
@@ -48,6 +53,15 @@ class Scratch:
 
     def discard(self) -> None:
         """Delete this run's folder through the file system it is on."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        path = SparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self._hadoop).delete(path, True)
+        _open.remove(self)
+
+
+@atexit.register
+def _discard_all() -> None:
+    for scratch in list(_open):
+        try:
+            scratch.discard()
+        except Exception:  # the JVM may be gone already
+            return

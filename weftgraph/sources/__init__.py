@@ -29,6 +29,21 @@ def read_inputs(
     return reduce(DataFrame.unionByName, frames)
 
 
+def read_uncast(
+    spark: SparkSession, source: DataSource, inputs: Sequence[str], fields: Sequence[FieldPlan]
+) -> DataFrame:
+    """UNION ALL of the inputs under their final names, with the cells as the source holds them."""
+    frames = []
+    for name in inputs:
+        if source.kind == "file" and source.file_format == "csv":
+            path = input_path(source.location, name)
+            frame = read_csv(spark, [path], fields, source.options, as_text=True)
+        else:
+            frame = read_source(spark, source, name, fields)
+        frames.append(frame.select(*[quoted(f.column).alias(f.name) for f in fields]))
+    return reduce(DataFrame.unionByName, frames)
+
+
 def read_source(spark: SparkSession, source: DataSource, name: str, fields: Sequence[FieldPlan]) -> DataFrame:
     """One input as a frame that still has its source columns."""
     if source.kind == "table":
