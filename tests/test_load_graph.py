@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 
 import modern
 from modern import CREATED, KNOWS
-from weftgraph import LoadOptions, StoredGraph, load_graph
+from weftgraph import LoadOptions, SpecError, StoredGraph, load_graph
 from weftgraph.operators.index import BadKeysError
 from weftgraph.plans.load import DanglingEdgesError
 from weftgraph.scratch import scratch_root
@@ -159,6 +159,13 @@ def test_out_only_edges_have_one_direction(spark, sources, tmp_path):
         graph.edges(CREATED, "destination")
 
 
+def test_a_graph_is_not_written_over_its_inputs(spark, sources):
+    for out in (sources, sources / "person.csv", sources / "person.csv" / "graph"):
+        with pytest.raises(SpecError):
+            load_graph(spark, modern.schema(), modern.spec(sources), str(out))
+    assert sorted(os.listdir(sources)) == sorted(modern.FILES)
+
+
 def test_empty_inputs(spark, sources, tmp_path):
     (sources / "person.csv").write_text("id|name|age")
     out = str(tmp_path / "out")

@@ -24,7 +24,8 @@ from weftgraph.sinks.graph_files import (
     write_chunks,
     write_manifest,
 )
-from weftgraph.spec import GraphSchema, ImportSpec, Triplet, validate
+from weftgraph.sources.files import input_path
+from weftgraph.spec import GraphSchema, ImportSpec, SpecError, Triplet, validate
 
 VERTEX_CHUNK_SIZE = 1 << 18
 EDGE_CHUNK_SIZE = 1 << 22
@@ -112,6 +113,7 @@ def load_graph(
     options = options or LoadOptions()
     options.check()
     validate(schema, spec, options.column_naming)
+    _refuse_own_inputs(spec, path)
     frames = (spark, schema, spec, options.column_naming, options.on_error)
     vertices, edges = load_vertices(*frames), load_edges(*frames)
     mode = spec.save_mode
@@ -184,6 +186,8 @@ def _store_edges(
     kept = keep_edges(found, scratch)
     total = kept.count()
     dangling = edge.frame.count() - total
+    if dangling < 0:
+        raise UnstableSourceError(f"{triplet}: {total} edges resolved but {total + dangling} read")
     if dangling and options.dangling == "error":
         raise DanglingEdgesError(f"{triplet}: {dangling} edges have an end without a vertex")
     directions = ["source"] if out_only else ["source", "destination"]
@@ -207,6 +211,18 @@ def _store_edges(
     return EdgeReport(triplet.source, triplet.edge, triplet.destination, total, dangling, directions, columns)
 
 
+def _refuse_own_inputs(spec: ImportSpec, path: str) -> None:
+    """A graph cannot replace the files it is made from."""
+    if spec.source.kind != "file":
+        return
+    target = path.rstrip("/") + "/"
+    for mapping in (*spec.vertices, *spec.edges):
+        for name in mapping.inputs:
+            read = input_path(spec.source.location, name).rstrip("/") + "/"
+            if read.startswith(target) or target.startswith(read):
+                raise SpecError(f"input {name!r} lies in the folder the graph is written to")
+
+
 def _together(spark: SparkSession, work: Callable, tables: Iterable, options: LoadOptions) -> list:
     """Run the jobs of several tables side by side, so that small ones do not leave the cluster idle."""
     with ThreadPoolExecutor(options.tables_at_once) as pool:
