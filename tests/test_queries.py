@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 
 import duckdb
 import pytest
@@ -10,7 +11,7 @@ import pytest
 import __spark_entry__ as contract
 from weftgraph.plans.table_graph import TABLES
 
-FOLDER = "/root/testdata/sf0.01"
+FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
 
 # Spark type names and what DuckDB calls them.
 SAME_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
