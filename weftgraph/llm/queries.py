@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
 from weftgraph.llm.decontaminate import decontaminate
 from weftgraph.llm.exact_dedup import exact_dedup
+from weftgraph.llm.jaccard_join import jaccard_components
+from weftgraph.llm.token_files import id_digests, read_token_files, write_token_files
 from weftgraph.scratch import Scratch
 
+TOKENIZER, VOCABULARY, END_ID = "byte_bpe_50k.json", 50_257, 2
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -23,8 +28,22 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(_table(spark, folder, "documents"), Scratch(spark))
 
 
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = Scratch(spark)
+    path = scratch.folder("token_files")
+    documents = _table(spark, folder, "documents")
+    write_token_files(documents, path, scratch, tokenizer_path(TOKENIZER), END_ID, VOCABULARY)
+    return id_digests(read_token_files(spark, path, scratch, VOCABULARY))
+
+
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(_table(spark, folder, "documents"), Scratch(spark))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_decontaminate": op3_decontaminate,
         "op6_exact_dedup": op6_exact_dedup,
+        "op8_token_files": op8_token_files,
+        "op9_jaccard_join": op9_jaccard_join,
     }
