@@ -19,35 +19,105 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from weftgraph.llm import counts, rans
 from weftgraph.scratch import Scratch
 
 # Ids in a block, unless one document is longer.
 BLOCK_IDS = 1 << 18
-# Documents handled at once by the tokenizer, in characters.
-_PIECE_CHARS = 1 << 20
-_CACHED = 200_000
+# Texts tokenized at once, and pieces that a worker remembers (about 150 bytes each).
+_TEXTS = 300
+_CACHED = 500_000
 _CELLS = 1 << 12
-# A space between two other characters: a byte-level tokenizer always starts a new piece there.
-_BREAK = re.compile(r" (?<=\S )(?=\S)")
+# Where a byte-level tokenizer always starts a new piece: at a space and around a line feed, each alone between other
+# characters.
+_WORD = re.compile(r" (?<=\S )(?=\S)")
+_LINE = re.compile(r"\n(?<=\S\n)(?=\S)")
+# Pieces that are encoded as one text.
+_TOGETHER = 256
 
 
 class TokenFileError(ValueError):
     """A block does not decode to what was written."""
 
 
-@functools.lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class Encoder:
+    """A tokenizer with a cache of pieces, so that a piece which comes again is not encoded again."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        feed = self._ids(["\n"])[0]
+        self.cuts = _cuts_at_spaces(path) and len(feed) == 1
+        self.feed = feed.tobytes()
+        # By piece: after a space, and at the start of a line.
+        self.later: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype=self.kind) for e in coded]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The tokenizer's ids of each text."""
+        if not self.cuts:
+            return self._ids(texts)
+        lines = [[_WORD.split(line) for line in _LINE.split(text)] for text in texts]
+        later = self._coded(self.later, [p for own in lines for line in own for p in line[1:]], " ")
+        first = self._coded(self.first, [line[0] for own in lines for line in own], "")
+        found, at, line_at = [], 0, 0
+        for own in lines:
+            coded = []
+            for line in own:
+                coded += self.feed, first[line_at], *later[at : at + len(line) - 1]
+                line_at += 1
+                at += len(line) - 1
+            found.append(np.frombuffer(b"".join(coded[1:]), dtype=self.kind))
+        return found
+
+    def _coded(self, cache: dict[str, bytes], pieces: list[str], before: str) -> list[bytes]:
+        coded = list(map(cache.get, pieces))
+        missing = [i for i, c in enumerate(coded) if c is None]
+        if missing:
+            new: dict[str, bytes] = {}
+            self._learn(new, {pieces[i] for i in missing}, before)
+            for i in missing:
+                coded[i] = new[pieces[i]]
+            if len(cache) + len(new) > _CACHED:
+                cache.clear()
+            cache |= new
+        return coded
+
+    def _learn(self, cache: dict[str, bytes], new: set[str], before: str) -> None:
+        plain, odd = [], []
+        for p in new:
+            (odd if "\n" in p or not p else plain).append(p)
+        lots = [plain[i : i + _TOGETHER] for i in range(0, len(plain), _TOGETHER)]
+        # Line feeds between the pieces come back as ids of their own, and tell the pieces apart.
+        joined = self._ids(["\n".join([before + p for p in lot]) for lot in lots])
+        for lot, ids in zip(lots, joined):
+            raw, feeds = ids.tobytes(), np.flatnonzero(ids == np.frombuffer(self.feed, dtype=self.kind)[0])
+            size, ends = ids.itemsize, [*feeds.tolist(), len(ids)]
+            at = 0
+            for p, end in zip(lot, ends, strict=True):
+                cache[p] = raw[at * size : end * size]
+                at = end + 1
+        for p, ids in zip(odd, self._ids([before + p for p in odd])):
+            cache[p] = ids.tobytes()
+
 
-    return Tokenizer.from_file(path), _cuts_at_spaces(path), {}
+@functools.lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One encoder per Python worker, which keeps its cache from task to task."""
+    return Encoder(path)
 
 
 def _cuts_at_spaces(path: str) -> bool:
-    """Whether the ids of a text are those of its pieces between ``_BREAK`` and the spaces' pieces, laid end to end."""
+    """Whether this is a byte-level tokenizer whose pieces do not depend on what is around them."""
     with open(path, encoding="utf-8") as file:
         model = json.load(file)
     before = model.get("pre_tokenizer") or {}
@@ -56,55 +126,33 @@ def _cuts_at_spaces(path: str) -> bool:
         and before.get("type") == "ByteLevel"
         and not before.get("add_prefix_space")
         and before.get("use_regex", True)
-        and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] for t in model.get("added_tokens", []))
+        and not any(
+            re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] for t in model.get("added_tokens", [])
+        )
     )
 
 
-def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
-    """The tokenizer's ids of each text. Pieces that come again are taken from a cache."""
-    tokenizer, cuts, cache = _tokenizer(path)
-    if not cuts:
-        return [np.array(e.ids, dtype="<u4") for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-    found, at = [], 0
-    while at < len(texts):
-        size, heads, rests = 0, [], []
-        while at < len(texts) and (not heads or size < _PIECE_CHARS):
-            # Only the first piece has no space before it.
-            head, *rest = _BREAK.split(texts[at])
-            heads.append(head)
-            rests.append(rest)
-            size += len(texts[at])
-            at += 1
-        new = {p for rest in rests for p in rest if p not in cache}
-        if len(cache) + len(new) > _CACHED:
-            cache.clear()
-            new = {p for rest in rests for p in rest}
-        new = list(new)
-        coded = tokenizer.encode_batch([*heads, *(" " + p for p in new)], add_special_tokens=False)
-        first = [np.array(e.ids, dtype="<u4").tobytes() for e in coded[: len(heads)]]
-        for p, e in zip(new, coded[len(heads) :]):
-            cache[p] = np.array(e.ids, dtype="<u4").tobytes()
-        for head, rest in zip(first, rests):
-            found.append(np.frombuffer(head + b"".join(map(cache.__getitem__, rest)), dtype="<u4"))
-    return found
+_TOKENS = f"place bigint, id bigint, raw binary, {counts.COLUMNS}"
 
 
 def tokenized(docs: DataFrame, path: str, end_id: int, vocabulary: int) -> DataFrame:
-    """Per row of ``docs`` (id, text) its id and raw ids with the end id; besides, each task's counts in chunks."""
+    """Per row of ``docs`` (place, id, text) its place, id and raw ids with the end id; besides, each task's counts in chunks."""
     cells = -(-vocabulary // _CELLS) * _CELLS
     kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(cells, dtype=np.int64)
-        names = ["id", "raw", "chunk", "counts"]
+        coder, seen = encoder(path), np.zeros(cells, dtype=np.int64)
+        end = np.array(end_id, dtype=kind)
+        names = ["place", "id", "raw", "chunk", "counts"]
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for start in range(0, len(texts), 500):
-                ids = [np.append(x, np.uint32(end_id)) for x in encode_texts(texts[start : start + 500], path)]
+            texts = [t or "" for t in batch.column(2).to_pylist()]
+            for start in range(0, len(texts), _TEXTS):
+                ids = [np.append(x, end) for x in coder.encode(texts[start : start + _TEXTS])]
                 seen += np.bincount(np.concatenate(ids), minlength=cells)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, len(ids)),
+                        batch.column(1).slice(start, len(ids)),
                         pa.array([x.astype(kind).tobytes() for x in ids], type=pa.binary()),
                         pa.nulls(len(ids), pa.int32()),
                         pa.nulls(len(ids), pa.binary()),
@@ -113,10 +161,10 @@ def tokenized(docs: DataFrame, path: str, end_id: int, vocabulary: int) -> DataF
                 )
         own = counts.chunked(seen, _CELLS)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(own), pa.int64()), pa.nulls(len(own), pa.binary()), *own.columns], names=names
+            [*[pa.nulls(len(own), pa.int64())] * 2, pa.nulls(len(own), pa.binary()), *own.columns], names=names
         )
 
-    return docs.mapInArrow(run, f"id bigint, raw binary, {counts.COLUMNS}")
+    return docs.mapInArrow(run, _TOKENS)
 
 
 _BLOCK = (
@@ -196,21 +244,25 @@ def write_token_files(
     vocabulary: int,
     id_column: str = "doc_id",
     text_column: str = "text",
+    place: Column | None = None,
     part_rows: int = 1 << 20,
 ) -> None:
     """Write the ids of all documents below ``path``: ``blocks`` and the frequency ``table``.
 
-    Documents are in ascending order of the integer id, null first, rows that repeat
-    an id in any order. A null text is empty and has the end id alone. No documents
+    Documents are in ascending order of the integer id, or first of ``place`` if that
+    is given; null comes first, and rows that repeat an id come in any order. A null text is empty and has the end id alone. No documents
     give no blocks; other columns are ignored. A task encodes one range of at most
     about ``part_rows`` documents, so parts grow in number, not in size.
     """
+    number = F.col(f"`{id_column}`").cast("bigint")
     source = docs.select(
-        F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text")
+        (number if place is None else place).cast("bigint").alias("place"),
+        number.alias("id"),
+        F.col(f"`{text_column}`").cast("string").alias("text"),
     )
     folder = scratch.folder("tokens")
     tokenized(source, tokenizer, end_id, vocabulary).write.option("compression", "zstd").parquet(folder)
-    kept = docs.sparkSession.read.schema(f"id bigint, raw binary, {counts.COLUMNS}").parquet(folder)
+    kept = docs.sparkSession.read.schema(_TOKENS).parquet(folder)
     cells = -(-vocabulary // _CELLS) * _CELLS
     seen = counts.summed(kept.where(F.col("chunk").isNotNull()), cells, _CELLS)
     frequency = rans.frequencies(seen)
@@ -219,19 +271,27 @@ def write_token_files(
         [(int(i), int(frequency[i])) for i in np.flatnonzero(frequency)], "token_id int, frequency bigint"
     ).coalesce(1).write.parquet(f"{path}/table")
 
-    rows = kept.where(F.col("raw").isNotNull()).select("id", "raw")
+    rows = kept.where(F.col("raw").isNotNull()).select("place", "id", "raw")
     total = rows.count()
     partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // part_rows))
-    ranged = rows.repartitionByRange(partitions, "id").sortWithinPartitions("id")
+    ranged = rows.repartitionByRange(partitions, "place", "id").sortWithinPartitions("place", "id")
     ranged = ranged.select(F.spark_partition_id().alias("part"), "id", "raw")
     blocks = _encoded(ranged, table, "<u2" if vocabulary <= 1 << 16 else "<u4")
     blocks.write.option("compression", "none").parquet(f"{path}/blocks")
 
 
-def read_token_files(spark: SparkSession, path: str, scratch: Scratch, vocabulary: int) -> DataFrame:
+_IDS = "doc_id bigint, start bigint, ids array<int>"
+_DIGESTS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
+
+
+def read_token_files(
+    spark: SparkSession, path: str, scratch: Scratch, vocabulary: int, as_digest: bool = False
+) -> DataFrame:
     """One row per document: doc_id, start (ids of all documents before it), ids.
 
-    Raises ``TokenFileError`` where a block's stream or its ids differ from their checksums.
+    With ``as_digest`` n_tokens and ids_crc32 take the place of the ids: their number,
+    and the crc32 of them as little-endian unsigned 32-bit integers. Raises
+    ``TokenFileError`` where a block's stream or its ids differ from their checksums.
     """
     pairs = spark.read.schema("token_id int, frequency bigint").parquet(f"{path}/table").collect()
     frequency = np.zeros(vocabulary, dtype=np.uint64)
@@ -262,36 +322,14 @@ def read_token_files(spark: SparkSession, path: str, scratch: Scratch, vocabular
                     raise TokenFileError(f"{where}: the ids are not those that were written")
                 lengths = np.array(b["lengths"], dtype=np.int64)
                 ends = np.cumsum(lengths)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(b["doc_ids"], type=pa.int64()),
-                        pa.array(b["start"] + ends - lengths),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids.view(np.int32))
-                        ),
-                    ],
-                    names=["doc_id", "start", "ids"],
-                )
-
-    return placed.mapInArrow(run, "doc_id bigint, start bigint, ids array<int>")
-
-
-def id_digests(read: DataFrame) -> DataFrame:
-    """Per document its number of ids and the crc32 of them as little-endian unsigned 32-bit integers."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(2)
-            flat, offsets = ids.values.to_numpy().astype("<u4"), ids.offsets.to_numpy()
-            pieces = [flat[i:j] for i, j in zip(offsets, offsets[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array([len(p) for p in pieces], type=pa.int64()),
-                    pa.array([zlib.crc32(p.tobytes()) for p in pieces], type=pa.int64()),
-                ],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"],
-            )
-
-    return read.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+                both = [pa.array(b["doc_ids"], type=pa.int64()), pa.array(b["start"] + ends - lengths)]
+                if as_digest:
+                    sums = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), lengths.tolist())]
+                    both += pa.array(lengths), pa.array(sums, type=pa.int64())
+                else:
+                    offsets = pa.array(np.append(0, ends).astype(np.int32))
+                    both.append(pa.ListArray.from_arrays(offsets, pa.array(ids.view(np.int32))))
+                names = ["doc_id", "start", *(("n_tokens", "ids_crc32") if as_digest else ("ids",))]
+                yield pa.RecordBatch.from_arrays(both, names=names)
+
+    return placed.mapInArrow(run, _DIGESTS if as_digest else _IDS)
