@@ -17,7 +17,7 @@ from xxhash import xxh3_128_digest
 
 # Bytes of text in a block, unless one document is longer.
 BLOCK_BYTES = 1 << 20
-_BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _ASCII = bytes(range(128))
 _LOWER = bytes(range(ord("A"), ord("Z") + 1)), bytes(range(ord("a"), ord("z") + 1))
 LOWER_CASED = bytes.maketrans(*_LOWER)
@@ -72,7 +72,7 @@ class Block:
 
     def hashes(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Two hashes of the window at each word, whether it stays in one document or not."""
-        return rolled(self.lanes[0], width, _BASES[0]), rolled(self.lanes[1], width, _BASES[1])
+        return rolled(self.lanes[0], width, BASES[0]), rolled(self.lanes[1], width, BASES[1])
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:

@@ -5,25 +5,57 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from public_tokenizers import path as tokenizer_path
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weftgraph.llm.decontaminate import decontaminate
 from weftgraph.llm.exact_dedup import exact_dedup
 from weftgraph.llm.jaccard_join import jaccard_components
-from weftgraph.llm.token_files import id_digests, read_token_files, write_token_files
+from weftgraph.llm.language import held_out, identify, labelled_sample, learned
+from weftgraph.llm.mixing import mixed, source_sizes, tempered_weights
+from weftgraph.llm.substring_dedup import substring_dedup
+from weftgraph.llm.suffix_dedup import suffix_dedup
+from weftgraph.llm.token_files import read_token_files, write_token_files
 from weftgraph.scratch import Scratch
 
 TOKENIZER, VOCABULARY, END_ID = "byte_bpe_50k.json", 50_257, 2
 
+# Between equal shares of the sources (0) and shares by size (1).
+TEMPER = 0.7
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "source")
+    sizes = source_sizes(documents)
+    placed = mixed(documents, tempered_weights(sizes, TEMPER), Scratch(spark), sizes=sizes)
+    return placed.select("row.doc_id", "row.source", "source_block", "slot", "place")
+
+
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = learned(*labelled_sample(documents))
+    found = identify(documents, model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substring_dedup(_table(spark, folder, "documents"), Scratch(spark), as_digest=True)
+    return found.withColumnRenamed("kept", "kept_sha256").drop("spans")
+
+
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), Scratch(spark))
 
 
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup(_table(spark, folder, "documents"), Scratch(spark), as_digest=True)
+    spans = F.size("spans").cast("bigint").alias("n_spans")
+    return found.select("doc_id", "n_bytes", "n_removed", spans, F.col("kept").alias("kept_sha256"))
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(_table(spark, folder, "documents"), Scratch(spark))
 
@@ -33,7 +65,7 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch.folder("token_files")
     documents = _table(spark, folder, "documents")
     write_token_files(documents, path, scratch, tokenizer_path(TOKENIZER), END_ID, VOCABULARY)
-    return id_digests(read_token_files(spark, path, scratch, VOCABULARY))
+    return read_token_files(spark, path, scratch, VOCABULARY, as_digest=True)
 
 
 def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -42,7 +74,11 @@ def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_mixing": op1_mixing,
         "op3_decontaminate": op3_decontaminate,
+        "op2_substring_dedup": op2_substring_dedup,
+        "op4_language": op4_language,
+        "op5_suffix_dedup": op5_suffix_dedup,
         "op6_exact_dedup": op6_exact_dedup,
         "op8_token_files": op8_token_files,
         "op9_jaccard_join": op9_jaccard_join,

@@ -51,9 +51,33 @@ SELECT d.doc_id, coalesce(len(w), 0) AS n_words, coalesce(n_hit, 0) AS n_hit, co
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+SUBSTRING_DEDUP = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, p, array_to_string(w[p : p + 12], ' ') AS words
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM d WHERE len(w) >= 13)
+), least AS (
+  SELECT words, min(doc_id) AS first_id FROM win GROUP BY 1 HAVING min(doc_id) < max(doc_id)
+), gone AS (
+  SELECT DISTINCT doc_id, p + k AS p
+  FROM win JOIN least USING (words), range(13) AS r(k) WHERE doc_id > first_id
+), lost AS (
+  SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY 1
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN gone USING (doc_id, p)
+  GROUP BY 1
+)
+SELECT d.doc_id, coalesce(len(w), 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_substring_dedup": SUBSTRING_DEDUP,
         "op3_decontaminate": DECONTAMINATE,
         "op6_exact_dedup": EXACT_DEDUP,
     }
