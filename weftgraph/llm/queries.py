@@ -11,6 +11,8 @@ from weftgraph.llm.decontaminate import decontaminate
 from weftgraph.llm.exact_dedup import exact_dedup
 from weftgraph.llm.jaccard_join import jaccard_components
 from weftgraph.llm.language import held_out, identify, labelled_sample, learned
+from weftgraph.llm.language_model import language_scores
+from weftgraph.llm.license_scan import license_scan
 from weftgraph.llm.mixing import mixed, source_sizes, tempered_weights
 from weftgraph.llm.substring_dedup import substring_dedup
 from weftgraph.llm.suffix_dedup import suffix_dedup
@@ -60,6 +62,10 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(_table(spark, folder, "documents"), Scratch(spark))
 
 
+def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return language_scores(_table(spark, folder, "documents"), Scratch(spark))
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     scratch = Scratch(spark)
     path = scratch.folder("token_files")
@@ -72,6 +78,10 @@ def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(_table(spark, folder, "documents"), Scratch(spark))
 
 
+def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
@@ -80,6 +90,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_language": op4_language,
         "op5_suffix_dedup": op5_suffix_dedup,
         "op6_exact_dedup": op6_exact_dedup,
+        "op7_language_model": op7_language_model,
         "op8_token_files": op8_token_files,
         "op9_jaccard_join": op9_jaccard_join,
+        "op10_license_scan": op10_license_scan,
     }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from weftgraph.llm.license_scan import TEMPLATES
+
 EXACT_DEDUP = """
 WITH t AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS content
@@ -75,9 +77,45 @@ FROM d LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
 
+def license_scan_sql() -> str:
+    """For each template the windows of its length that hold most of its shingles."""
+    notices = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in sorted(TEMPLATES.items()))
+    words = r"""regexp_extract_all(
+      translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+    return f"""
+WITH t AS (
+  SELECT template, {words.format("notice")} AS w FROM (VALUES {notices}) AS v(template, notice)
+), ts AS (
+  SELECT DISTINCT template, array_to_string(w[p : p + 4], ' ') AS s
+  FROM (SELECT template, w, unnest(range(1, len(w) - 3)) AS p FROM t)
+), sizes AS (
+  SELECT template, count(*) AS n_shingles FROM ts GROUP BY 1
+), d AS (
+  SELECT doc_id, {words.format("text")} AS w FROM documents
+), ds AS (
+  SELECT doc_id, p, len(w) - 4 AS n, array_to_string(w[p + 1 : p + 5], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(0, len(w) - 4)) AS p FROM d WHERE len(w) >= 5)
+), hit AS (
+  SELECT doc_id, p, n, template, s, n_shingles FROM ds JOIN ts USING (s) JOIN sizes USING (template)
+), win AS (
+  SELECT DISTINCT doc_id, template, n_shingles, p - k AS word
+  FROM hit, range(0, 40) AS r(k) WHERE k < n_shingles AND p - k >= 0 AND p - k <= n - n_shingles
+), counted AS (
+  SELECT doc_id, template, win.n_shingles, word, count(DISTINCT s) AS n_found
+  FROM win JOIN hit USING (doc_id, template) WHERE p >= word AND p < word + win.n_shingles
+  GROUP BY 1, 2, 3, 4
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, template ORDER BY n_found DESC, word) AS r FROM counted
+)
+SELECT doc_id, template, n_shingles, n_found, word FROM best WHERE r = 1 AND 100 * n_found >= 75 * n_shingles
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_substring_dedup": SUBSTRING_DEDUP,
         "op3_decontaminate": DECONTAMINATE,
+        "op10_license_scan": license_scan_sql(),
         "op6_exact_dedup": EXACT_DEDUP,
     }

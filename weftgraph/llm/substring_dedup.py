@@ -57,19 +57,19 @@ def _anchors(docs: DataFrame, width: int, gram: int) -> DataFrame:
                     [
                         pa.array(grams.signed(anchor)),
                         batch.column(0).take(pa.array(block.rows[own])),
-                        pa.array(first.astype(np.int32)),
-                        pa.array(last.astype(np.int32)),
+                        # The first window and, in the lowest bits, how many more; one number shuffles in less room.
+                        pa.array(first * width + (last - first)),
                         pa.array(grams.signed(reach)),
                     ],
-                    names=["anchor", "id", "first", "last", "reach"],
+                    names=["anchor", "id", "windows", "reach"],
                 )
 
-    return docs.mapInArrow(run, "anchor bigint, id bigint, first int, last int, reach bigint")
+    return docs.mapInArrow(run, "anchor bigint, id bigint, windows bigint, reach bigint")
 
 
 _RESULT = "id bigint, n_words bigint, n_removed bigint, spans array<struct<start:int,end:int>>, kept string"
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-_PENDING = f"{_RESULT}, text binary, hi array<bigint>, lo array<bigint>, at array<int>"
+_PENDING = f"{_RESULT}, pack binary, hi array<bigint>, lo array<bigint>, at array<int>"
 
 
 def spans_of(covered: np.ndarray) -> list[dict]:
@@ -107,12 +107,12 @@ _NAMES = ["id", "n_words", "n_removed", "spans", "kept"]
 
 
 def _settled(docs: DataFrame, width: int, as_digest: bool) -> DataFrame:
-    """Finished rows, and rows whose ``text`` is kept because some of their windows are still to be compared."""
+    """Finished rows, and rows whose ``pack`` is kept because some of their windows are still to be compared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = grams.text_bytes(batch.column(1))
-            rows, text, hi, lo, at = [], [], [], [], []
+            texts, packs = grams.unpacked(batch.column(1)), batch.column(1).to_pylist()
+            rows, pack, hi, lo, at = [], [], [], [], []
             for i, ranges in enumerate(batch.column(2).to_pylist()):
                 words = grams.plain_words(texts[i])
                 ranges = ranges or []
@@ -125,35 +125,36 @@ def _settled(docs: DataFrame, width: int, as_digest: bool) -> DataFrame:
                 if len(starts):
                     lanes = [grams.rolled(x, width, b) for x, b in zip(grams.word_lanes(words), grams.BASES)]
                     rows.append((number, len(words), 0, spans_of(covered), None))
-                    text.append(texts[i])
+                    pack.append(packs[i])
                     hi.append(grams.signed(lanes[0][starts]))
                     lo.append(grams.signed(lanes[1][starts]))
                     at.append(starts.astype(np.int32))
                 else:
                     rows.append((number, *_finished(words, covered, as_digest)))
-                    for column in (text, hi, lo, at):
+                    for column in (pack, hi, lo, at):
                         column.append(None)
             yield pa.RecordBatch.from_arrays(
                 [
                     *_result(rows),
-                    pa.array(text, type=pa.binary()),
+                    pa.array(pack, type=pa.binary()),
                     pa.array(hi, type=pa.list_(pa.int64())),
                     pa.array(lo, type=pa.list_(pa.int64())),
                     pa.array(at, type=pa.list_(pa.int32())),
                 ],
-                names=[*_NAMES, "text", "hi", "lo", "at"],
+                names=[*_NAMES, "pack", "hi", "lo", "at"],
             )
 
     return docs.mapInArrow(run, _PENDING)
 
 
 def _completed(pending: DataFrame, width: int, as_digest: bool) -> DataFrame:
-    """Rows (id, text, spans, starts of repeated windows) finished."""
+    """Rows (id, pack, spans, starts of repeated windows) finished."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for number, text, spans, starts in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            ids, *lists = (batch.column(i).to_pylist() for i in (0, 2, 3))
+            for number, text, spans, starts in zip(ids, grams.unpacked(batch.column(1)), *lists):
                 words = grams.plain_words(text)
                 found = np.array([(s["start"], s["end"]) for s in spans], dtype=np.int64).reshape(-1, 2)
                 more = np.array(starts or [], dtype=np.int64)
@@ -198,19 +199,24 @@ def substring_dedup(
     )
     shared = shared.where("least < most").select("anchor", "least", (F.col("low") == F.col("high")).alias("even"))
     shared = scratch.keep(shared, "shared")
-    ranges = anchors.select("anchor", "id", "first", "last").join(shared, "anchor").where("NOT even OR id > least")
+    ranges = anchors.select("anchor", "id", "windows").join(shared, "anchor").where("NOT even OR id > least")
+    first = F.expr(f"windows div {int(width)}")
+    ranges = ranges.select(
+        "id", "even", first.cast("int").alias("first"), (first + F.col("windows") % width).cast("int").alias("last")
+    )
     # At most one range for each anchor of a document: a list no longer than the document.
     of_document = ranges.groupBy("id").agg(F.collect_list(F.struct("first", "last", "even")).alias("ranges"))
-    settled = _settled(source.join(of_document, "id", "left").select("id", "text", "ranges"), width, as_digest)
+    texts = grams.packed(source).join(of_document, "id", "left").select("id", "pack", "ranges")
+    settled = _settled(texts, width, as_digest)
     folder = scratch.folder("settled")
     settled.write.option("compression", "zstd").parquet(folder)
     settled = docs.sparkSession.read.schema(_PENDING).parquet(folder)
 
-    pending = settled.where("text IS NOT NULL")
+    pending = settled.where("pack IS NOT NULL")
     windows = pending.select("id", F.inline(F.arrays_zip("hi", "lo", "at")))
     repeated = windows.groupBy("hi", "lo").agg(F.min("id").alias("least"), F.max("id").alias("most"))
     repeated = windows.join(repeated.where("least < most").drop("most"), ["hi", "lo"]).where("id > least")
     starts = repeated.groupBy("id").agg(F.collect_list("at").alias("starts"))
-    last = pending.select("id", "text", "spans").join(starts, "id", "left").select("id", "text", "spans", "starts")
-    finished = settled.where("text IS NULL").select(*_NAMES).unionByName(_completed(last, width, as_digest))
+    last = pending.select("id", "pack", "spans").join(starts, "id", "left").select("id", "pack", "spans", "starts")
+    finished = settled.where("pack IS NULL").select(*_NAMES).unionByName(_completed(last, width, as_digest))
     return finished.withColumnRenamed("id", id_column)
