@@ -33,7 +33,7 @@ GRAM = 48
 # Bytes of text hashed at once; longer texts are cut, with an overlap.
 SLICE = 1 << 19
 # Bytes of a shard's text, and occurrences of an anchor from which its pieces are split.
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 18
 SPLIT = 2048
 _PLACE_BITS = np.uint64(31)
 _PLACE = np.uint64((1 << 31) - 1)
@@ -105,8 +105,8 @@ def _anchors(docs: DataFrame, width: int, gram: int) -> DataFrame:
                 begins = np.cumsum(sizes) - sizes
                 hashes = gram_hashes(np.frombuffer(joined, dtype=np.uint8), gram, powers)
                 # The greater place wins among equal hashes.
-                places = _PLACE - np.arange(len(hashes), dtype=np.uint64)
-                least = least_in_windows((hashes & ~_PLACE) | places, width - gram + 1)
+                backwards = _PLACE - np.arange(len(hashes), dtype=np.uint64)
+                least = least_in_windows((hashes & ~_PLACE) | backwards, width - gram + 1)
                 chosen = (_PLACE - (least & _PLACE)).astype(np.int64)
                 owner = np.repeat(np.arange(len(lot)), sizes)
                 starts = np.flatnonzero(owner[: len(joined) - width + 1] == owner[width - 1 :])
@@ -114,8 +114,20 @@ def _anchors(docs: DataFrame, width: int, gram: int) -> DataFrame:
                 firsts = np.flatnonzero(np.append(True, (kept[1:] != kept[:-1]) | (np.diff(starts) != 1)))
                 lasts = starts[np.append(firsts[1:], len(starts)) - 1]
                 anchor, firsts = hashes[kept[firsts]], starts[firsts]
+                places = kept[np.searchsorted(starts, firsts)]
                 view = memoryview(joined)
                 reach = [xxh3_64_intdigest(view[a : b + width]) for a, b in zip(firsts.tolist(), lasts.tolist())]
+                # Half of what a string has beside its anchor, before and after it; null where the slice ends before.
+                half = (width - gram) // 2
+                begin, end = begins[owner[firsts]], (begins + sizes)[owner[firsts]]
+                sides = []
+                for low, high in ((places - half, places + gram), (places, places + gram + half)):
+                    inside = (low >= begin) & (high <= end)
+                    found = [
+                        xxh3_64_intdigest(view[a:b]) if ok else 0
+                        for a, b, ok in zip(low.tolist(), high.tolist(), inside.tolist())
+                    ]
+                    sides.append(pa.array(grams.signed(np.array(found, dtype=np.uint64)), mask=~inside))
                 slice_of = owner[firsts]
                 shift = np.array([offset for _, offset, _ in lot])[slice_of] - begins[slice_of]
                 row = np.array([r for r, _, _ in lot])[slice_of]
@@ -126,12 +138,19 @@ def _anchors(docs: DataFrame, width: int, gram: int) -> DataFrame:
                         pa.array(grams.signed(prints[row])),
                         pa.array((firsts + shift).astype(np.int32)),
                         pa.array((lasts + shift).astype(np.int32)),
+                        pa.array((places + shift).astype(np.int32)),
+                        *sides,
                         pa.array(grams.signed(np.array(reach, dtype=np.uint64))),
                     ],
-                    names=["anchor", "id", "print", "first", "last", "reach"],
+                    names=["anchor", "id", "print", "first", "last", "place", "left", "right", "reach"],
                 )
 
-    return docs.mapInArrow(run, "anchor bigint, id bigint, print bigint, first int, last int, reach bigint")
+    return docs.mapInArrow(run, _ANCHORS)
+
+
+_ANCHORS = (
+    "anchor bigint, id bigint, print bigint, first int, last int, place int, left bigint, right bigint, reach bigint"
+)
 
 
 def _with_print(docs: DataFrame) -> DataFrame:
@@ -286,12 +305,14 @@ def suffix_dedup(
     shared = anchors.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("n"), F.min("reach").alias("low"), F.max("reach").alias("high")
     )
-    shared = shared.where("n > 1").select("anchor", "n", (F.col("low") == F.col("high")).alias("even"))
+    shared = shared.where("n > 1").select("anchor", (F.col("low") == F.col("high")).alias("even"))
     shared = scratch.keep(shared, "shared")
-    ranges = anchors.select("anchor", "id", "print", "first", "last").join(shared, "anchor")
+    ranges = scratch.keep(anchors.drop("reach").join(shared, "anchor"), "ranges")
+    still_open = _narrowed(ranges.where("NOT even"), (width - gram) // 2)
+    even = ranges.where("even").select(*still_open.drop("n").columns, F.lit(1).cast("bigint").alias("n"))
     one = F.struct("anchor", "n", "first", "last", "even")
     # At most one range for each anchor of a document: a list no longer than the document.
-    of_document = ranges.groupBy("id", "print").agg(F.collect_list(one).alias("ranges"))
+    of_document = even.unionByName(still_open).groupBy("id", "print").agg(F.collect_list(one).alias("ranges"))
     joined = _with_print(source).join(of_document, ["id", "print"], "left")
     split_up = joined.select(
         "id",
@@ -337,6 +358,26 @@ def suffix_dedup(
     return finished.select(shown, "n_bytes", "n_removed", "spans", "kept")
 
 
+def _narrowed(ranges: DataFrame, half: int) -> DataFrame:
+    """Of each anchor's strings those that can repeat.
+
+    A string has ``half`` bytes before its anchor or more than that after it. So where
+    nothing else has the same half before the anchor, only strings that start less than
+    ``half`` before it can repeat, and where nothing has the same half after it only the
+    others; with neither, none can.
+    """
+    for side in ("left", "right"):
+        twice = ranges.where(F.col(side).isNotNull()).groupBy("anchor", side).agg(F.count(F.lit(1)).alias("n"))
+        twice = twice.where("n > 1").select("anchor", side, F.lit(True).alias(f"{side}_twice"))
+        ranges = ranges.join(twice, ["anchor", side], "left")
+    border = F.col("place") - half
+    first = F.when(F.col("left_twice"), F.col("first")).otherwise(F.greatest("first", border + 1))
+    last = F.when(F.col("right_twice"), F.col("last")).otherwise(F.least("last", border))
+    ranges = ranges.where("left_twice OR right_twice").select("anchor", "id", "print", "even", first.alias("first"), last.alias("last"))
+    ranges = ranges.where("first <= last")
+    return ranges.join(ranges.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "anchor")
+
+
 def _runs(starts: str):
     """Ascending numbers as half-open runs (start, end) of consecutive ones."""
     empty = F.from_json(F.lit("[]"), "array<struct<start:int,end:int>>")
