@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 
-LANES = 512
+LANES = 2048
 INTERVAL = 512
 SCALE_BITS = 20
 _LOW = np.uint64(1 << 31)

@@ -25,10 +25,10 @@ from weftgraph.llm import counts, rans
 from weftgraph.scratch import Scratch
 
 # Ids in a block, unless one document is longer.
-BLOCK_IDS = 1 << 18
+BLOCK_IDS = 1 << 20
 # Texts tokenized at once, and pieces that a worker remembers (about 150 bytes each).
 _TEXTS = 300
-_CACHED = 500_000
+_CACHED = 1_500_000
 _CELLS = 1 << 12
 # Where a byte-level tokenizer always starts a new piece: at a space and around a line feed, each alone between other
 # characters.
