@@ -95,7 +95,8 @@ class Encoder:
     def _learn(self, cache: dict[str, bytes], new: set[str], before: str) -> None:
         plain, odd = [], []
         for p in new:
-            (odd if "\n" in p or not p else plain).append(p)
+            # White space at an end would join the line feed.
+            (odd if "\n" in p or not p or p != p.strip() else plain).append(p)
         lots = [plain[i : i + _TOGETHER] for i in range(0, len(plain), _TOGETHER)]
         # Line feeds between the pieces come back as ids of their own, and tell the pieces apart.
         joined = self._ids(["\n".join([before + p for p in lot]) for lot in lots])
