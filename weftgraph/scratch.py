@@ -7,11 +7,13 @@ it and a lost executor costs a read instead of a recomputation.
 from __future__ import annotations
 
 import atexit
+import contextlib
+import re
 import shutil
 import tempfile
 import uuid
 
-from pyspark import SparkContext
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
@@ -19,12 +21,12 @@ _open: list[Scratch] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the session; a fresh temporary one on a local master that names none."""
+    """The shared folder of the session; a fresh temporary one if the session runs in this process and names none."""
     global _local_root
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="run-")
@@ -33,13 +35,17 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """One run's own folder below the shared one, deleted when the driver ends at the latest."""
+    """One run's own folder below the shared one, deleted when the driver ends at the latest.
+
+    The folder is the place of a database of its own, because dropping a database
+    deletes its folder on any file system Spark can write to.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.path = f"{scratch_root(spark).rstrip('/')}/weftgraph-{uuid.uuid4().hex}"
-        # Held here, because it must still work once the session has stopped.
-        self._hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        self.name = f"weftgraph_{uuid.uuid4().hex}"
+        self.path = f"{scratch_root(spark).rstrip('/')}/{self.name}"
+        spark.sql(f"CREATE DATABASE {self.name} LOCATION {_literal(self.path)}")
         _open.append(self)
 
     def folder(self, name: str) -> str:
@@ -51,17 +57,33 @@ class Scratch:
         frame.write.parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *failure: object) -> None:
+        self.discard()
+
     def discard(self) -> None:
-        """Delete this run's folder through the file system it is on."""
-        path = SparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self._hadoop).delete(path, True)
+        """Delete this run's folder."""
         _open.remove(self)
+        self.spark.sql(f"DROP DATABASE {self.name} CASCADE")
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on any file system, as that of a database made for it."""
+    name = f"weftgraph_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION {_literal(path)}")
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def _literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 @atexit.register
 def _discard_all() -> None:
     for scratch in list(_open):
-        try:
+        # Once its session has stopped, a folder can only be deleted from outside.
+        with contextlib.suppress(PySparkException, AttributeError, ConnectionError, OSError):
             scratch.discard()
-        except Exception:  # the JVM may be gone already
-            return
