@@ -54,8 +54,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the mix: by file name, and by place in the file."""
     scratch, sizes = Scratch(spark), source_sizes(docs)
-    placed = mixed(docs, tempered_weights(sizes, TEMPER), scratch, sizes=sizes)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Whole texts move, so a range is a share of the rows that a task is given elsewhere too.
+    rows = -(-sum(sizes.values()) // partitions) or 1
+    placed = mixed(docs, tempered_weights(sizes, TEMPER), scratch, sizes=sizes, rows_per_range=rows)
     ordered = placed.repartitionByRange(partitions, "slot", "place").sortWithinPartitions("slot", "place")
     return ordered.select("row.*")
 
@@ -65,7 +67,7 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     scratch = Scratch(spark)
     path = scratch.folder("token_files")
     place = place_in_files(docs)
-    write_token_files(docs, path, scratch, tokenizer_path(TOKENIZER), END_ID, VOCABULARY, place=place)
+    write_token_files(docs, path, tokenizer_path(TOKENIZER), END_ID, VOCABULARY, place=place)
     return read_token_files(spark, path, scratch, VOCABULARY, as_digest=True)
 
 

@@ -365,7 +365,7 @@ def test_token_files(spark, docs, tmp_path):
 
     tokenizer = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
     out, scratch = str(tmp_path / "tokens"), Scratch(spark)
-    write_token_files(docs, out, scratch, tokenizer_path("byte_bpe_50k.json"), 2, 50_257)
+    write_token_files(docs, out, tokenizer_path("byte_bpe_50k.json"), 2, 50_257)
     rows = read_token_files(spark, out, scratch, 50_257).orderBy("start").collect()
     assert [r["doc_id"] for r in rows] == sorted((d for d, _ in ROWS), key=lambda d: -1 if d is None else d)
     at = 0
@@ -409,5 +409,5 @@ def test_empty_tables(spark, nothing):
     ):
         assert frame.count() == 0
     out, own = scratch().folder("tokens"), scratch()
-    write_token_files(nothing, out, own, tokenizer_path("byte_bpe_50k.json"), 2, 50_257)
+    write_token_files(nothing, out, tokenizer_path("byte_bpe_50k.json"), 2, 50_257)
     assert read_token_files(spark, out, own, 50_257).count() == 0

@@ -70,7 +70,7 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     scratch = Scratch(spark)
     path = scratch.folder("token_files")
     documents = _table(spark, folder, "documents")
-    write_token_files(documents, path, scratch, tokenizer_path(TOKENIZER), END_ID, VOCABULARY)
+    write_token_files(documents, path, tokenizer_path(TOKENIZER), END_ID, VOCABULARY)
     return read_token_files(spark, path, scratch, VOCABULARY, as_digest=True)
 
 

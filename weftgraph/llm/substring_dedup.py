@@ -194,22 +194,26 @@ def substring_dedup(
         F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text")
     )
     anchors = _anchors(source.where("id IS NOT NULL"), width, gram)
-    shared = anchors.groupBy("anchor").agg(
-        F.min("id").alias("least"), F.max("id").alias("most"), F.min("reach").alias("low"), F.max("reach").alias("high")
-    )
-    shared = shared.where("least < most").select("anchor", "least", (F.col("low") == F.col("high")).alias("even"))
-    shared = scratch.keep(shared, "shared")
-    ranges = anchors.select("anchor", "id", "windows").join(shared, "anchor").where("NOT even OR id > least")
-    first = F.expr(f"windows div {int(width)}")
-    ranges = ranges.select(
-        "id", "even", first.cast("int").alias("first"), (first + F.col("windows") % width).cast("int").alias("last")
-    )
-    # At most one range for each anchor of a document: a list no longer than the document.
-    of_document = ranges.groupBy("id").agg(F.collect_list(F.struct("first", "last", "even")).alias("ranges"))
-    texts = grams.packed(source).join(of_document, "id", "left").select("id", "pack", "ranges")
-    settled = _settled(texts, width, as_digest)
     folder = scratch.folder("settled")
-    settled.write.option("compression", "zstd").parquet(folder)
+    with Scratch(docs.sparkSession) as passing:
+        shared = anchors.groupBy("anchor").agg(
+            F.min("id").alias("least"),
+            F.max("id").alias("most"),
+            F.min("reach").alias("low"),
+            F.max("reach").alias("high"),
+        )
+        shared = shared.where("least < most").select("anchor", "least", (F.col("low") == F.col("high")).alias("even"))
+        shared = passing.keep(shared, "shared")
+        ranges = anchors.select("anchor", "id", "windows").join(shared, "anchor").where("NOT even OR id > least")
+        first = F.expr(f"windows div {int(width)}")
+        ranges = ranges.select(
+            "id", "even", first.cast("int").alias("first"), (first + F.col("windows") % width).cast("int").alias("last")
+        )
+        # At most one range for each anchor of a document: a list no longer than the document.
+        of_document = ranges.groupBy("id").agg(F.collect_list(F.struct("first", "last", "even")).alias("ranges"))
+        texts = grams.packed(source).join(of_document, "id", "left").select("id", "pack", "ranges")
+        settled = _settled(texts, width, as_digest)
+        settled.write.option("compression", "zstd").parquet(folder)
     settled = docs.sparkSession.read.schema(_PENDING).parquet(folder)
 
     pending = settled.where("pack IS NOT NULL")

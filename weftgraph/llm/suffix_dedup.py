@@ -302,30 +302,31 @@ def suffix_dedup(
         F.coalesce(number, F.lit(_NO_ID)).alias("id"), F.col(f"`{text_column}`").cast("string").alias("text")
     )
     anchors = _anchors(source, width, gram)
-    shared = anchors.groupBy("anchor").agg(
-        F.count(F.lit(1)).alias("n"), F.min("reach").alias("low"), F.max("reach").alias("high")
-    )
-    shared = shared.where("n > 1").select("anchor", (F.col("low") == F.col("high")).alias("even"))
-    shared = scratch.keep(shared, "shared")
-    ranges = scratch.keep(anchors.drop("reach").join(shared, "anchor"), "ranges")
-    still_open = _narrowed(ranges.where("NOT even"), (width - gram) // 2)
-    even = ranges.where("even").select(*still_open.drop("n").columns, F.lit(1).cast("bigint").alias("n"))
-    one = F.struct("anchor", "n", "first", "last", "even")
-    # At most one range for each anchor of a document: a list no longer than the document.
-    of_document = even.unionByName(still_open).groupBy("id", "print").agg(F.collect_list(one).alias("ranges"))
-    joined = _with_print(source).join(of_document, ["id", "print"], "left")
-    split_up = joined.select(
-        "id",
-        "print",
-        "text",
-        F.transform(
-            F.filter("ranges", lambda r: r["even"]),
-            lambda r: F.struct(r["first"].alias("start"), (r["last"] + width).alias("end")),
-        ).alias("even"),
-        F.filter("ranges", lambda r: ~r["even"]).alias("open"),
-    )
     folder = scratch.folder("texts")
-    split_up.write.option("compression", "zstd").parquet(folder)
+    with Scratch(docs.sparkSession) as passing:
+        shared = anchors.groupBy("anchor").agg(
+            F.count(F.lit(1)).alias("n"), F.min("reach").alias("low"), F.max("reach").alias("high")
+        )
+        shared = shared.where("n > 1").select("anchor", (F.col("low") == F.col("high")).alias("even"))
+        shared = passing.keep(shared, "shared")
+        ranges = passing.keep(anchors.drop("reach").join(shared, "anchor"), "ranges")
+        still_open = _narrowed(ranges.where("NOT even"), (width - gram) // 2)
+        even = ranges.where("even").select(*still_open.drop("n").columns, F.lit(1).cast("bigint").alias("n"))
+        one = F.struct("anchor", "n", "first", "last", "even")
+        # At most one range for each anchor of a document: a list no longer than the document.
+        of_document = even.unionByName(still_open).groupBy("id", "print").agg(F.collect_list(one).alias("ranges"))
+        joined = _with_print(source).join(of_document, ["id", "print"], "left")
+        split_up = joined.select(
+            "id",
+            "print",
+            "text",
+            F.transform(
+                F.filter("ranges", lambda r: r["even"]),
+                lambda r: F.struct(r["first"].alias("start"), (r["last"] + width).alias("end")),
+            ).alias("even"),
+            F.filter("ranges", lambda r: ~r["even"]).alias("open"),
+        )
+        split_up.write.option("compression", "zstd").parquet(folder)
     texts = docs.sparkSession.read.schema(split_up.schema).parquet(folder)
 
     pieces = texts.where(F.size("open") > 0).select("id", "print", "text", F.inline("open"))

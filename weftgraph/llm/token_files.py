@@ -239,7 +239,6 @@ _BLOCK_SCHEMA = pa.schema(
 def write_token_files(
     docs: DataFrame,
     path: str,
-    scratch: Scratch,
     tokenizer: str,
     end_id: int,
     vocabulary: int,
@@ -261,24 +260,24 @@ def write_token_files(
         number.alias("id"),
         F.col(f"`{text_column}`").cast("string").alias("text"),
     )
-    folder = scratch.folder("tokens")
-    tokenized(source, tokenizer, end_id, vocabulary).write.option("compression", "zstd").parquet(folder)
-    kept = docs.sparkSession.read.schema(_TOKENS).parquet(folder)
-    cells = -(-vocabulary // _CELLS) * _CELLS
-    seen = counts.summed(kept.where(F.col("chunk").isNotNull()), cells, _CELLS)
-    frequency = rans.frequencies(seen)
-    table = docs.sparkSession.sparkContext.broadcast(frequency)
-    docs.sparkSession.createDataFrame(
-        [(int(i), int(frequency[i])) for i in np.flatnonzero(frequency)], "token_id int, frequency bigint"
-    ).coalesce(1).write.parquet(f"{path}/table")
-
-    rows = kept.where(F.col("raw").isNotNull()).select("place", "id", "raw")
-    total = rows.count()
-    partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // part_rows))
-    ranged = rows.repartitionByRange(partitions, "place", "id").sortWithinPartitions("place", "id")
-    ranged = ranged.select(F.spark_partition_id().alias("part"), "id", "raw")
-    blocks = _encoded(ranged, table, "<u2" if vocabulary <= 1 << 16 else "<u4")
-    blocks.write.option("compression", "none").parquet(f"{path}/blocks")
+    spark = docs.sparkSession
+    with Scratch(spark) as passing:
+        folder = passing.folder("tokens")
+        tokenized(source, tokenizer, end_id, vocabulary).write.option("compression", "zstd").parquet(folder)
+        kept = spark.read.schema(_TOKENS).parquet(folder)
+        cells = -(-vocabulary // _CELLS) * _CELLS
+        frequency = rans.frequencies(counts.summed(kept.where(F.col("chunk").isNotNull()), cells, _CELLS))
+        table = spark.sparkContext.broadcast(frequency)
+        spark.createDataFrame(
+            [(int(i), int(frequency[i])) for i in np.flatnonzero(frequency)], "token_id int, frequency bigint"
+        ).coalesce(1).write.parquet(f"{path}/table")
+
+        rows = kept.where(F.col("raw").isNotNull()).select("place", "id", "raw")
+        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // part_rows))
+        ranged = rows.repartitionByRange(partitions, "place", "id").sortWithinPartitions("place", "id")
+        ranged = ranged.select(F.spark_partition_id().alias("part"), "id", "raw")
+        blocks = _encoded(ranged, table, "<u2" if vocabulary <= 1 << 16 else "<u4")
+        blocks.write.option("compression", "none").parquet(f"{path}/blocks")
 
 
 _IDS = "doc_id bigint, start bigint, ids array<int>"
