@@ -38,6 +38,12 @@ _LINE = re.compile(r"\n(?<=\S\n)(?=\S)")
 _TOGETHER = 256
 
 
+def _words(line: str) -> list[str]:
+    words = line.split()
+    # Most lines have single spaces only, for which this is faster.
+    return words if words and " ".join(words) == line else _WORD.split(line)
+
+
 class TokenFileError(ValueError):
     """A block does not decode to what was written."""
 
@@ -54,6 +60,7 @@ class Encoder:
         feed = self._ids(["\n"])[0]
         self.cuts = _cuts_at_spaces(path) and len(feed) == 1
         self.feed = feed.tobytes()
+        self.endings = {c: ids.tobytes() for c, ids in zip(".,", self._ids([".", ","]))}
         # By piece: after a space, and at the start of a line.
         self.later: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
@@ -66,7 +73,7 @@ class Encoder:
         """The tokenizer's ids of each text."""
         if not self.cuts:
             return self._ids(texts)
-        lines = [[_WORD.split(line) for line in _LINE.split(text)] for text in texts]
+        lines = [[_words(line) for line in _LINE.split(text)] for text in texts]
         later = self._coded(self.later, [p for own in lines for line in own for p in line[1:]], " ")
         first = self._coded(self.first, [line[0] for own in lines for line in own], "")
         found, at, line_at = [], 0, 0
@@ -83,8 +90,7 @@ class Encoder:
         coded = list(map(cache.get, pieces))
         missing = [i for i, c in enumerate(coded) if c is None]
         if missing:
-            new: dict[str, bytes] = {}
-            self._learn(new, {pieces[i] for i in missing}, before)
+            new = self._learned(cache, {pieces[i] for i in missing}, before)
             for i in missing:
                 coded[i] = new[pieces[i]]
             if len(cache) + len(new) > _CACHED:
@@ -92,8 +98,16 @@ class Encoder:
             cache |= new
         return coded
 
-    def _learn(self, cache: dict[str, bytes], new: set[str], before: str) -> None:
-        plain, odd = [], []
+    def _learned(self, known: dict[str, bytes], new: set[str], before: str) -> dict[str, bytes]:
+        # A full stop or comma after a letter is a piece of its own, so the word before it may be known.
+        ending = {p for p in new if p[-1:] in self.endings and p[-2:-1].isalpha()}
+        found = self._encoded((new - ending) | {p[:-1] for p in ending if p[:-1] not in known}, before)
+        for p in ending:
+            found[p] = (found.get(p[:-1]) or known[p[:-1]]) + self.endings[p[-1]]
+        return found
+
+    def _encoded(self, new: set[str], before: str) -> dict[str, bytes]:
+        plain, odd, found = [], [], {}
         for p in new:
             # White space at an end would join the line feed.
             (odd if "\n" in p or not p or p != p.strip() else plain).append(p)
@@ -105,10 +119,11 @@ class Encoder:
             size, ends = ids.itemsize, [*feeds.tolist(), len(ids)]
             at = 0
             for p, end in zip(lot, ends, strict=True):
-                cache[p] = raw[at * size : end * size]
+                found[p] = raw[at * size : end * size]
                 at = end + 1
         for p, ids in zip(odd, self._ids([before + p for p in odd])):
-            cache[p] = ids.tobytes()
+            found[p] = ids.tobytes()
+        return found
 
 
 @functools.lru_cache(maxsize=2)
