@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -9,9 +10,22 @@ import modern
 from modern import CREATED, KNOWS
 from weftgraph import LoadOptions, SpecError, StoredGraph, load_graph
 from weftgraph.operators.index import BadKeysError
-from weftgraph.plans.load import DanglingEdgesError
+from weftgraph.plans.load import DanglingEdgesError, UnstableSourceError, verify_edges
 from weftgraph.scratch import scratch_root
 from weftgraph.sinks.graph_files import IncompleteGraphError, write_manifest
+from weftgraph.spec import (
+    ColumnMapping,
+    DataSource,
+    EdgeMapping,
+    EdgePair,
+    EdgeType,
+    GraphSchema,
+    ImportSpec,
+    Property,
+    Triplet,
+    VertexMapping,
+    VertexType,
+)
 
 
 def rows(frame, *order):
@@ -86,7 +100,14 @@ def test_small_chunks_and_ranges(spark, sources, tmp_path):
     ]
     places = graph.edges(CREATED).select("vertex_chunk", "edge_chunk", "pos", "src_vid")
     assert rows(places, "src_vid") == [(0, 0, 0, 0), (0, 1, 1, 1), (1, 0, 0, 2), (1, 1, 1, 3)]
-    assert os.path.isdir(os.path.join(out, "vertices/person/vertex_chunk=1"))
+    assert os.path.isdir(os.path.join(graph.root, "vertices/person/vertex_chunk=1"))
+    # Files do not straddle edge chunks, so one chunk is read alone.
+    one = graph.edges(CREATED).where("vertex_chunk = 1 AND edge_chunk = 0")
+    assert [r["src_vid"] for r in one.collect()] == [2]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "(edge_chunk#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    by_source = os.path.join(graph.root, "edges/person/created/software/by_source")
+    assert sorted(os.listdir(os.path.join(by_source, "vertex_chunk=1")))[-2:] == ["edge_chunk=0", "edge_chunk=1"]
 
 
 def test_source_naming(spark, sources, tmp_path):
@@ -114,6 +135,109 @@ def test_init_refuses_and_overwrite_replaces(spark, sources, tmp_path):
     assert [(e.rows, e.dangling) for e in report.edges] == [(1, 1), (2, 2)]
 
 
+def test_overwrite_leaves_nothing_of_the_old_graph(spark, sources, tmp_path):
+    out = str(tmp_path / "out")
+    load_graph(spark, modern.schema(), modern.spec(sources), out)
+    overwrite = modern.spec(sources, lambda text: text.replace("import_option: init", "import_option: overwrite"))
+    load_graph(spark, modern.schema(), replace(overwrite, edges=overwrite.edges[:1]), out)
+    graph = StoredGraph(spark, out)
+    assert len(graph.manifest["edges"]) == 1
+    assert sorted(os.listdir(out)) == ["manifest", os.path.basename(graph.root)]
+    assert len(os.listdir(os.path.join(graph.root, "edges/person"))) == 1
+
+
+def test_a_failed_overwrite_leaves_the_old_graph(spark, sources, tmp_path):
+    out = str(tmp_path / "out")
+    load_graph(spark, modern.schema(), modern.spec(sources), out)
+    with open(sources / "person.csv", "a") as file:
+        file.write("\n4|again|1")
+    overwrite = modern.spec(sources, lambda text: text.replace("import_option: init", "import_option: overwrite"))
+    with pytest.raises(BadKeysError):
+        load_graph(spark, modern.schema(), overwrite, out)
+    assert StoredGraph(spark, out).vertices("person").count() == 4
+    assert len(os.listdir(out)) == 2
+
+
+@pytest.mark.parametrize("name", ["{}", "file:{}", "file://{}", "{}/x/..", "{}/", "file:{}/./y/../"])
+def test_an_input_below_the_target_is_refused_by_any_name(spark, sources, tmp_path, name):
+    inside = tmp_path / "graph" / "vertices"
+    inside.mkdir(parents=True)
+    for file in list(sources.iterdir()):
+        (inside / file.name).write_text(file.read_text())
+    overwrite = modern.spec(inside, lambda text: text.replace("import_option: init", "import_option: overwrite"))
+    with pytest.raises(SpecError, match="lies in the folder"):
+        load_graph(spark, modern.schema(), overwrite, name.format(tmp_path / "graph"))
+    assert (inside / "person.csv").exists()
+
+
+def test_a_table_below_the_target_is_refused(spark, tmp_path):
+    path = tmp_path / "graph" / "old"
+    spark.range(3).selectExpr("id AS k").write.parquet(str(path))
+    spark.read.parquet(str(path)).createOrReplaceTempView("own_table")
+    schema = GraphSchema("g", (VertexType("V", (Property("k", "DT_SIGNED_INT64"),), ("k",)),))
+    spec = ImportSpec("g", DataSource("table"), (VertexMapping("V", ("own_table",)),), import_option="overwrite")
+    with pytest.raises(SpecError, match="lies in the folder"):
+        load_graph(spark, schema, spec, str(tmp_path / "graph"))
+
+
+def test_damaged_edges_are_noticed(spark, sources, tmp_path):
+    out = str(tmp_path / "out")
+    load_graph(spark, modern.schema(), modern.spec(sources), out)
+    graph = StoredGraph(spark, out)
+    columns = next(e["columns"] for e in graph.manifest["edges"] if e["edge"] == "created")
+    verify_edges(spark, graph.root, CREATED, "source", "orc", columns, 4)
+    folder = os.path.join(graph.root, "edges/person/created/software/by_source/vertex_chunk=0/edge_chunk=0")
+    kept = graph.edges(CREATED).where("pos != 2").drop("vertex_chunk", "edge_chunk").collect()
+    spark.createDataFrame(kept, graph.edges(CREATED).drop("vertex_chunk", "edge_chunk").schema).write.mode(
+        "overwrite"
+    ).orc(folder)
+    with pytest.raises(UnstableSourceError):
+        verify_edges(spark, graph.root, CREATED, "source", "orc", columns, 4)
+
+
+def test_skew_join_must_be_on(spark, sources, tmp_path):
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="skewJoin"):
+            load_graph(spark, modern.schema(), modern.spec(sources), str(tmp_path / "out"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+
+
+def test_malformed_rows_are_dropped_alike_in_all_passes(spark, sources, tmp_path):
+    (sources / "person.csv").write_text("id|name|age\n1|marko|29\n2|vadas|old\n4|josh|32\n6|peter|35")
+    dropping = lambda text: text.replace("header_row:", "mode: DROPMALFORMED, header_row:", 1)
+    spec = modern.spec(sources, dropping)
+    assert spec.source.options["mode"] == "DROPMALFORMED"
+    report = load_graph(spark, modern.schema(), spec, str(tmp_path / "out"))
+    assert StoredGraph(spark, str(tmp_path / "out")).vertices("person").count() == 3
+    assert (report.edges[0].rows, report.edges[0].dangling) == (1, 1)
+
+
+def test_endpoints_of_any_name(spark, tmp_path):
+    spark.range(5).selectExpr("id AS k", "id AS _key").createOrReplaceTempView("named_v")
+    spark.range(4).selectExpr("id AS src_vid", "id + 1 AS dst_vid", "id AS _key", "id AS key").createOrReplaceTempView(
+        "named_e"
+    )
+    number = "DT_SIGNED_INT64"
+    schema = GraphSchema(
+        "g",
+        (VertexType("V", (Property("k", number), Property("_key", number)), ("k",)),),
+        (EdgeType("E", (EdgePair("V", "V"),), (Property("_key", number), Property("key", number))),),
+    )
+    triplet = Triplet("V", "E", "V")
+    ends = (ColumnMapping("src_vid"),), (ColumnMapping("dst_vid"),)
+    spec = ImportSpec(
+        "g",
+        DataSource("table"),
+        (VertexMapping("V", ("named_v",)),),
+        (EdgeMapping(triplet, ("named_e",), *ends),),
+    )
+    load_graph(spark, schema, spec, str(tmp_path / "out"), LoadOptions(column_naming="source"))
+    edges = StoredGraph(spark, str(tmp_path / "out")).edges(triplet).select("src_vid", "dst_vid", "_key", "key")
+    assert rows(edges, "src_vid") == [(i, i + 1, i, i) for i in range(4)]
+
+
 def test_unfinished_graph_is_refused(spark, sources, tmp_path):
     with pytest.raises(IncompleteGraphError):
         StoredGraph(spark, str(tmp_path / "nothing"))

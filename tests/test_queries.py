@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from weftgraph.plans import table_queries
 from weftgraph.plans.table_graph import TABLES
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
@@ -38,7 +39,7 @@ def same(a, b):
     return a == b
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(table_queries.queries()))
 def test_query_agrees_with_sql(spark, duck, name):
     frame = contract.queries()[name](spark, FOLDER)
     relation = duck.sql(contract.oracle_sql()[name])
@@ -55,8 +56,10 @@ def test_query_agrees_with_sql(spark, duck, name):
         assert all(same(a, b) for a, b in zip(g, w)), (g, w)
 
 
-def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+def test_every_query_has_sql_and_is_registered():
+    assert set(table_queries.queries()) == set(table_queries.oracle_sql())
+    assert set(table_queries.queries()) <= set(contract.queries())
+    assert set(table_queries.oracle_sql()) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):

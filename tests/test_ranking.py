@@ -7,7 +7,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from weftgraph.operators import ranking
 from weftgraph.operators.ranking import numbered
 from weftgraph.scratch import Scratch
 
@@ -57,23 +56,51 @@ def test_one_column_orders(skewed, rows_per_range):
     check(skewed.select("a", "b"), ["a", "b"], rows_per_range=rows_per_range)
 
 
-def test_sampled_bounds_and_blocks(skewed, monkeypatch):
-    monkeypatch.setattr(ranking, "MAX_SAMPLES", 60)
-    monkeypatch.setattr(ranking, "BLOCK", 4)
-    check(skewed, ["a", "b", "id"], rows_per_range=100)
+def range_sizes(frame, order, **options):
+    """Rows in each range that ``numbered`` wrote."""
+    scratch = Scratch(frame.sparkSession)
+    numbered(frame, order, "n", scratch, **options)
+    written = frame.sparkSession.read.parquet(f"{scratch.path}/placed-*")
+    return [r["count"] for r in written.groupBy("range").count().collect()]
 
 
-def test_bounds_that_are_too_long_are_thinned(skewed, monkeypatch):
-    monkeypatch.setattr(ranking, "MAX_BOUNDS_CHARS", 200)
-    check(skewed, ["t", "id"], rows_per_range=150)
+def test_hot_keys_are_spread(skewed):
+    frame = skewed.where("a = 7 and b = 1").select("a", "b", "id")
+    sizes = range_sizes(frame, ["a", "b", "id"], rows_per_range=25)
+    assert len(sizes) > 6
+    assert max(sizes) <= 2.5 * 25
 
 
-def test_hot_keys_are_spread(skewed):
-    frame = skewed.where("a = 7 and b = 1").withColumn("r", F.lit(0)).select("a", "b", "id")
-    ranged = ranking._with_range(frame, ranking._bounds(frame, ["a", "b", "id"], 8, frame.count()))
-    sizes = [r["count"] for r in ranged.groupBy("_range").count().collect()]
-    assert len(sizes) == 8
-    assert max(sizes) <= 2.5 * frame.count() / 8
+def test_very_many_ranges(spark):
+    frame = spark.range(0, 13_000, numPartitions=4).select((F.col("id") * 7919 % 13_000).alias("a"))
+    rows = numbered(frame, ["a"], "n", Scratch(spark), rows_per_range=2)
+    wrong, top = rows.agg(F.count_if(F.col("a") != F.col("n")), F.max("n")).first()
+    assert (wrong, top) == (0, 12_999)
+
+
+def test_long_keys_keep_their_balance(spark):
+    frame = spark.range(0, 60, numPartitions=6).select(
+        F.concat(F.repeat(F.lit("k"), 1 << 20), F.lpad(F.col("id").cast("string"), 3, "0")).alias("k"), "id"
+    )
+    sizes = range_sizes(frame, ["k"], rows_per_range=10)
+    assert len(sizes) >= 4 and max(sizes) <= 25
+    assert numbered(frame, ["k"], "n", Scratch(spark), rows_per_range=10).where("id != n").count() == 0
+
+
+def test_without_ansi(skewed):
+    spark = skewed.sparkSession
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        check(skewed, ["a", "b", "t", "x", "id"], rows_per_range=90)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_any_column_names(spark):
+    names = ["_range", "_shift", "row", "range", "place", "group", "rows", "shift", "of"]
+    frame = spark.range(20).select(*[(F.col("id") * (i + 2)).alias(n) for i, n in enumerate(names)], "id")
+    rows = numbered(frame, ["id"], "n", Scratch(spark), rows_per_range=3).orderBy("n").collect()
+    assert [tuple(r[n] for n in names) for r in rows] == [tuple(k * (i + 2) for i in range(len(names))) for k in range(20)]
 
 
 def test_empty(spark):
@@ -81,20 +108,19 @@ def test_empty(spark):
     assert numbered(frame, ["a"], "n", Scratch(spark)).collect() == []
 
 
-def test_one_shuffle_of_the_rows(spark):
+def test_rows_are_written_once_and_not_shuffled_again(spark):
     frame = spark.range(1000).select(F.expr("id % 7").alias("a"), "id", F.expr("id % 7 div 2L").alias("g"))
     plan = numbered(frame, ["a", "id"], "n", Scratch(spark), within="g", rows_per_range=100)
     text = plan._jdf.queryExecution().executedPlan().toString()
-    # The rows move once; the other exchanges carry one row per group and range.
-    rows, shifts = text.split("BroadcastExchange")
-    assert rows.count("Exchange") == 1 and "Exchange shufflepartitionidpassthrough" in rows
-    assert shifts.count("Exchange hashpartitioning") == 3
-    assert "SinglePartition" not in text
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text and "SinglePartition" not in text
 
 
-def test_many_groups_join_by_a_shuffle(skewed, monkeypatch):
-    monkeypatch.setattr(ranking, "MAX_BROADCAST_ROWS", 2)
+def test_many_groups_join_by_a_shuffle(skewed):
+    spark = skewed.sparkSession
     frame = skewed.withColumn("g", F.expr("a div 5L"))
-    plan = numbered(frame, ["a", "b", "id"], "n", Scratch(frame.sparkSession), within="g", rows_per_range=400)
-    assert "ResolvedHint" not in plan._jdf.queryExecution().analyzed().toString()
-    check(frame, ["a", "b", "id"], within="g", rows_per_range=400)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        check(frame, ["a", "b", "id"], within="g", rows_per_range=400)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

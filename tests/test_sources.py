@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weftgraph.functions.types import cast_to
 from weftgraph.operators import checks
-from weftgraph.sources import read_inputs
+from weftgraph.sources import read_inputs, side_by_side
 from weftgraph.sources.files import count_lines, read_csv
 from weftgraph.sources.tables import read_table, table_and_partitions
 from weftgraph.spec import DataSource, FieldPlan, SpecError
@@ -171,6 +171,39 @@ def test_checks_return_the_offending_rows(spark):
     assert sorted((r["t"], r["lost"]) for r in lost.collect()) == [("7.5", ["t"]), ("x", ["t"])]
 
 
+CELLS = [FieldPlan("a", "a", "DT_BOOL"), FieldPlan("b", "b", "DT_SIGNED_INT32"), FieldPlan("c", "c", "DT_DOUBLE")]
+
+
+def test_lost_cells_are_judged_by_the_parser(spark, tmp_path):
+    (tmp_path / "cells.csv").write_text("a|b|c\ntrue|1|1.5\nyes|2|2\n1| 12 |x\n|| \nfalse|3|NaN")
+    source = DataSource("file", str(tmp_path), "csv")
+    both = side_by_side(spark, source, ["cells.csv"], CELLS)
+    loaded = read_inputs(spark, source, ["cells.csv"], CELLS)
+    assert [tuple(r["typed"])[:2] for r in both.collect()] == [tuple(r)[:2] for r in loaded.collect()]
+    lost = [
+        [n for n in "abc" if r["raw"][n] is not None and r["typed"][n] is None] for r in both.collect()
+    ]
+    assert lost == [[], ["a"], ["a", "b", "c"], ["c"], []]
+
+
+def test_csv_cells_can_stop_a_load(spark, tmp_path):
+    (tmp_path / "good.csv").write_text("a|b|c|surplus\ntrue|1|1.5|x\n||")
+    (tmp_path / "bad.csv").write_text("a|b|c\ntrue|one|1.5")
+    source = DataSource("file", str(tmp_path), "csv")
+    good = read_inputs(spark, source, ["good.csv"], CELLS, "raise").collect()
+    assert [tuple(r) for r in good] == [(True, 1, 1.5), (None, None, None)]
+    assert [tuple(r) for r in read_inputs(spark, source, ["bad.csv"], CELLS).collect()] == [(True, None, 1.5)]
+    with pytest.raises(Exception, match="b is no DT_SIGNED_INT32"):
+        read_inputs(spark, source, ["bad.csv"], CELLS, "raise").collect()
+
+
+def test_a_csv_column_read_under_two_types(spark, tmp_path):
+    (tmp_path / "codes.csv").write_text("code\n007\nx1")
+    fields = [FieldPlan("code", "text", "DT_STRING"), FieldPlan("code", "number", INT)]
+    frame = read_inputs(spark, DataSource("file", str(tmp_path), "csv"), ["codes.csv"], fields)
+    assert [tuple(r) for r in frame.collect()] == [("007", 7), ("x1", None)]
+
+
 def test_lost_cells_of_a_csv(spark, tmp_path):
     path = tmp_path / "cells.csv"
     path.write_text("h|h|h\n1|a|oops\n2|b|\noops|c|1")

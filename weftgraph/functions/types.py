@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, functions as F, types as T
 
 # The declared type names and what each is stored as.
@@ -43,6 +45,14 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """The name, lengthened until no column has it."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def cast_to(column: Column, source: T.DataType, declared: str, on_error: str = "raise") -> Column:
     """Cast to the declared type; dates and timestamps become epoch milliseconds in 64 bits.
 

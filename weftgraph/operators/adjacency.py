@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from weftgraph.functions.types import quoted
+from weftgraph.operators.endpoints import edge_properties, matched_edges
 from weftgraph.operators.index import chunk_of
 from weftgraph.operators.ranking import numbered
 from weftgraph.scratch import Scratch
@@ -22,6 +23,21 @@ def keep_edges(resolved: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.keep(resolved.withColumn("edge_row", F.monotonically_increasing_id()), "edges")
 
 
+def keep_matched(
+    edges: DataFrame, src: str, dst: str, source_index: DataFrame, destination_index: DataFrame, scratch: Scratch
+) -> tuple[DataFrame, int, int]:
+    """Kept edges as ``keep_edges`` has them, their number, and that of the edges without a vertex.
+
+    All edges are written in one pass over their source, which both numbers are counted from.
+    """
+    matched = matched_edges(edges, src, dst, source_index, destination_index)
+    properties = [F.col("row").getField(c).alias(c) for c in edge_properties(edges, src, dst)]
+    written = keep_edges(matched.select("src_vid", "dst_vid", *properties), scratch)
+    whole = F.col("src_vid").isNotNull() & F.col("dst_vid").isNotNull()
+    total, kept = written.agg(F.count(F.lit(1)), F.count_if(whole)).first()
+    return written.where(whole), kept, total - kept
+
+
 def adjacency(
     edges: DataFrame,
     by: str,
@@ -70,7 +86,8 @@ def offsets(edges: DataFrame, by: str, vertices: int, vertex_chunk_size: int) ->
     everyone = edges.sparkSession.range(vertices).select(
         F.col("id").alias("vid"), F.lit(0).cast("bigint").alias("degree")
     )
-    # One shuffle by chunk serves both the sum per vertex and the running sum.
+    # One shuffle by chunk serves both the sum per vertex and the running sum; the edges' own by vertex comes
+    # before it, combined in the tasks, because by chunk a hub's edges would not be spread.
     filled = (
         degrees.unionByName(everyone)
         .withColumn("vertex_chunk", chunk_of("vid", vertex_chunk_size))

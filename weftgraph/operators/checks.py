@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from weftgraph.functions.types import DECLARED_RANGE, cast_to, quoted
+from weftgraph.functions.types import DECLARED_RANGE, cast_to, fresh, quoted
 
 
 def null_keys(frame: DataFrame, key: str) -> DataFrame:
@@ -16,26 +16,30 @@ def null_keys(frame: DataFrame, key: str) -> DataFrame:
 
 def duplicate_keys(frame: DataFrame, key: str) -> DataFrame:
     """Keys held by several rows, with their number; counted before the shuffle, so a hot key is one row."""
-    counted = frame.where(quoted(key).isNotNull()).groupBy(quoted(key)).agg(F.count(F.lit(1)).alias("copies"))
-    return counted.where("copies > 1")
+    copies = fresh("copies", [key])
+    counted = frame.where(quoted(key).isNotNull()).groupBy(quoted(key)).agg(F.count(F.lit(1)).alias(copies))
+    return counted.where(F.col(copies) > 1)
 
 
-def out_of_range(frame: DataFrame, declared: Mapping[str, str]) -> DataFrame:
-    """Rows with a value its declared 8/16-bit type cannot hold. ``declared`` maps column to type name."""
+def is_out_of_range(values: Mapping[str, Column], declared: Mapping[str, str]) -> Column:
+    """Whether one of the values (by column) is one that its declared 8/16-bit type cannot hold."""
     outside = [
-        ~quoted(column).between(*DECLARED_RANGE[type_name])
+        F.coalesce(~values[column].between(*DECLARED_RANGE[type_name]), F.lit(False))
         for column, type_name in declared.items()
         if type_name in DECLARED_RANGE
     ]
-    if not outside:
-        return frame.where(F.lit(False))
-    return frame.where(reduce(lambda a, b: a | b, (F.coalesce(o, F.lit(False)) for o in outside)))
+    return reduce(lambda a, b: a | b, outside, F.lit(False))
+
+
+def out_of_range(frame: DataFrame, declared: Mapping[str, str]) -> DataFrame:
+    """Rows with a value its declared 8/16-bit type cannot hold. ``declared`` maps column to type name."""
+    return frame.where(is_out_of_range({c: quoted(c) for c in declared}, declared))
 
 
 def lost_cells(frame: DataFrame, declared: Mapping[str, str]) -> DataFrame:
     """Rows with a non-null cell that the cast to its declared type turns into null.
 
-    ``lost`` lists the columns concerned.
+    ``lost`` lists the columns concerned (under a longer name if the frame has such a column).
     """
     marks = [
         F.when(
@@ -45,7 +49,8 @@ def lost_cells(frame: DataFrame, declared: Mapping[str, str]) -> DataFrame:
         )
         for column, type_name in declared.items()
     ]
-    return frame.withColumn("lost", F.array_compact(F.array(*marks))).where(F.size("lost") > 0)
+    lost = fresh("lost", frame.columns)
+    return frame.withColumn(lost, F.array_compact(F.array(*marks))).where(F.size(lost) > 0)
 
 
 def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:

@@ -10,32 +10,48 @@ from pyspark.sql import DataFrame, functions as F
 
 from weftgraph.functions.types import quoted
 
+# Null ends match nothing; they are spread over so many keys, lest they pile up in one task.
+NULL_SALTS = 1024
 
-def resolved_edges(
+
+def matched_edges(
     edges: DataFrame, src: str, dst: str, source_index: DataFrame, destination_index: DataFrame
 ) -> DataFrame:
-    """Edges whose both ends exist: ``src_vid``, ``dst_vid`` and the properties.
+    """Every edge as a struct ``row`` with ``src_vid`` and ``dst_vid``, null where there is no such vertex.
 
     An index is a frame of (key, vid), its key first.
     """
-    matched = _with_vid(edges, src, source_index, "src_vid", "inner")
-    matched = _with_vid(matched, dst, destination_index, "dst_vid", "inner")
-    properties = [c for c in edges.columns if c not in (src, dst)]
-    return matched.select("src_vid", "dst_vid", *[quoted(c) for c in properties])
+    # The caller's columns stay inside one struct, out of the way of the helper columns.
+    found = edges.select(F.struct(*[quoted(c) for c in edges.columns]).alias("row"))
+    for end, index, into in ((src, source_index, "src_vid"), (dst, destination_index, "dst_vid")):
+        key = F.col("row").getField(end)
+        salt = F.when(key.isNull(), F.monotonically_increasing_id() % NULL_SALTS).otherwise(F.lit(0))
+        salted = found.select("*", key.alias("end"), salt.alias("end_salt"))
+        keys = index.select(
+            quoted(index.columns[0]).alias("key"), F.lit(0).cast("bigint").alias("key_salt"), F.col("vid").alias(into)
+        )
+        same = (F.col("end") == F.col("key")) & (F.col("end_salt") == F.col("key_salt"))
+        found = salted.join(keys, same, "left").select(*found.columns, into)
+    return found
 
 
-def dangling_edges(
+def edge_properties(edges: DataFrame, src: str, dst: str) -> list[str]:
+    return [c for c in edges.columns if c not in (src, dst)]
+
+
+def resolved_edges(
     edges: DataFrame, src: str, dst: str, source_index: DataFrame, destination_index: DataFrame
 ) -> DataFrame:
-    """Edges with an end that is null or that no vertex has."""
-    # Null ends match nothing; leaving them out of the joins keeps them from piling up in one task.
-    null_end = quoted(src).isNull() | quoted(dst).isNull()
-    matched = _with_vid(edges.where(~null_end), src, source_index, "src_vid", "left")
-    matched = _with_vid(matched, dst, destination_index, "dst_vid", "left")
-    unmatched = matched.where(F.col("src_vid").isNull() | F.col("dst_vid").isNull())
-    return unmatched.select(*[quoted(c) for c in edges.columns]).unionByName(edges.where(null_end))
+    """Edges whose both ends exist: ``src_vid``, ``dst_vid`` and the properties."""
+    matched = matched_edges(edges, src, dst, source_index, destination_index)
+    properties = [F.col("row").getField(c).alias(c) for c in edge_properties(edges, src, dst)]
+    return matched.where("src_vid IS NOT NULL AND dst_vid IS NOT NULL").select("src_vid", "dst_vid", *properties)
 
 
-def _with_vid(edges: DataFrame, end: str, index: DataFrame, into: str, how: str) -> DataFrame:
-    narrow = index.select(quoted(index.columns[0]).alias("_key"), F.col("vid").alias(into))
-    return edges.join(narrow, quoted(end) == F.col("_key"), how).drop("_key")
+def dangling_edges(
+    edges: DataFrame, src: str, dst: str, source_index: DataFrame, destination_index: DataFrame
+) -> DataFrame:
+    """Edges with an end that is null or that no vertex has."""
+    matched = matched_edges(edges, src, dst, source_index, destination_index)
+    own = [F.col("row").getField(c).alias(c) for c in edges.columns]
+    return matched.where("src_vid IS NULL OR dst_vid IS NULL").select(*own)

@@ -23,15 +23,15 @@ class KeyCounts:
 
 
 def distinct_keys(frame: DataFrame, key: str) -> DataFrame:
-    """Each key once with its number of rows (null included); combined before the shuffle."""
-    return frame.groupBy(quoted(key)).agg(F.count(F.lit(1)).alias("copies"))
+    """Each key once as ``key``, with its number of rows (null included); combined before the shuffle."""
+    return frame.groupBy(quoted(key).alias("key")).agg(F.count(F.lit(1)).alias("copies"))
 
 
-def key_counts(keys: DataFrame, key: str) -> KeyCounts:
+def key_counts(keys: DataFrame) -> KeyCounts:
     """Totals of a frame made by ``distinct_keys``."""
-    is_null = quoted(key).isNull()
+    is_null = F.col("key").isNull()
     row = keys.agg(
-        F.count(quoted(key)).alias("vertices"),
+        F.count("key").alias("vertices"),
         F.coalesce(F.sum(F.when(is_null, F.col("copies"))), F.lit(0)).alias("nulls"),
         F.count_if(~is_null & (F.col("copies") > 1)).alias("repeated"),
     ).first()
@@ -43,15 +43,12 @@ def vertex_index(
 ) -> tuple[DataFrame, int]:
     """Add ``vid`` to every vertex; also gives the number of vertices.
 
-    The keys are kept as a narrow table, which serves the uniqueness check, the
-    bounds and the counts. The full rows are read and shuffled once, and only
-    after the keys are known to be unique.
+    The full rows are only shuffled after the keys are known to be unique.
     """
-    keys = scratch.keep(distinct_keys(frame, key), "keys")
-    counts = key_counts(keys, key)
+    counts = key_counts(distinct_keys(frame, key))
     if counts.nulls or counts.repeated:
         raise BadKeysError(f"key {key!r}: {counts.nulls} null rows, {counts.repeated} keys held by several rows")
-    indexed = numbered(frame, [key], "vid", scratch, keys=keys, total=counts.vertices, rows_per_range=rows_per_range)
+    indexed = numbered(frame, [key], "vid", scratch, total=counts.vertices, rows_per_range=rows_per_range)
     return indexed, counts.vertices
 
 

@@ -41,7 +41,7 @@ def vertex_frame(
     spec: ImportSpec,
     label: str,
     naming: str = "property",
-    on_error: str = "raise",
+    on_error: str | None = None,
 ) -> VertexFrame:
     """All inputs of a label; columns carry property names, or source names with ``naming="source"``."""
     fields = vertex_fields(schema, spec, label, naming)
@@ -55,7 +55,7 @@ def edge_frame(
     spec: ImportSpec,
     triplet: Triplet,
     naming: str = "property",
-    on_error: str = "raise",
+    on_error: str | None = None,
 ) -> EdgeFrame:
     """All inputs of a triplet: source key, destination key, then the properties."""
     src, dst = endpoint_fields(schema, spec, triplet, naming)

@@ -1,35 +1,25 @@
 """Positions in a sorted order, without sorting the whole table in one task.
 
-``row_number()`` over an unpartitioned window moves every row to one task. Here
-the order is cut into ranges of about equal size at bounds taken from a sample;
-each range is numbered by its own task and starts at the number of rows in the
-ranges before it. Any bounds give the right numbers, they only set the balance.
+``row_number()`` over an unpartitioned window moves every row to one task. Here Spark
+deals the rows out by ranges of the order and sorts each range; the rows are written
+once with their range and their place in it. How many rows of which group each range
+has is then counted from what was written, so where the ranges begin only sets the
+balance, and the counts make the result exact.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
 
 from weftgraph.functions.types import quoted
 from weftgraph.scratch import Scratch
 
 ROWS_PER_RANGE = 1 << 20
-MAX_RANGES = 1 << 16
-SAMPLES_PER_RANGE = 60
-MAX_SAMPLES = 1_000_000
-MAX_BOUNDS_CHARS = 16 << 20
-BLOCK = 256
-MAX_BROADCAST_ROWS = 1_000_000
 # The part of a generated row number that counts rows within a partition.
 PLACE_IN_PARTITION = (1 << 33) - 1
 
-_RANGE = "_range"
-_SHIFT = "_shift"
-
 
 def numbered(
     frame: DataFrame,
@@ -37,167 +27,41 @@ def numbered(
     into: str,
     scratch: Scratch,
     within: str | None = None,
-    keys: DataFrame | None = None,
     total: int | None = None,
     rows_per_range: int | None = None,
 ) -> DataFrame:
     """Add the 0-based position of each row by ``order`` (nulls first) among the rows equal in ``within``.
 
     ``within`` must not decrease along ``order``, as the chunk number of the
-    leading column does not. ``frame`` must give the same rows each time it is
-    run, so pass a table or a kept frame. ``keys`` may be a narrower table with
-    the same ``order`` values, read for the bounds and counts in place of
-    ``frame``.
+    leading column does not. The rows may carry columns of any name but ``into``.
 
     A run of rows equal in all of ``order`` cannot be cut; end ``order`` with a
     unique column where such runs can be long.
     """
-    grouping = [within] if within else []
-    narrow = (frame if keys is None else keys).select(*[quoted(c) for c in dict.fromkeys([*grouping, *order])])
     if total is None:
-        total = narrow.count()
-    ranges = max(1, min(MAX_RANGES, -(-total // (rows_per_range or ROWS_PER_RANGE))))
-    bounds = _bounds(narrow, order, ranges, total)
-    # Partition i is range i, in order: the place of a row in its partition is its place in its
-    # range, and this is the only shuffle of the rows.
-    placed = _with_range(frame, bounds).repartitionById(ranges, F.col(_RANGE))
-    placed = placed.sortWithinPartitions(*[quoted(c) for c in order])
+        total = frame.count()
+    ranges = max(1, -(-total // (rows_per_range or ROWS_PER_RANGE)))
+    # The caller's columns stay inside one struct, out of the way of the helper columns.
+    rows = frame.select(F.struct(*[quoted(c) for c in frame.columns]).alias("row"))
+    keys = [F.col("row").getField(c) for c in order]
+    ordered = rows.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
     place = F.monotonically_increasing_id().bitwiseAND(F.lit(PLACE_IN_PARTITION))
-    placed = placed.withColumn(into, place)
-    if ranges > 1 or within:
-        counts = (
-            _with_range(narrow, bounds)
-            .groupBy(_RANGE, *[quoted(c) for c in grouping])
-            .agg(F.count(F.lit(1)).alias("_rows"))
-        )
-        shifts, small = _shifts(counts, within, total, scratch)
-        placed = placed.join(F.broadcast(shifts) if small else shifts, [_RANGE, *grouping])
-        placed = placed.withColumn(into, quoted(into) + F.col(_SHIFT))
-    return placed.select(*[quoted(c) for c in [*frame.columns, into]])
-
-
-def _shifts(counts: DataFrame, within: str | None, total: int, scratch: Scratch) -> tuple[DataFrame, bool]:
-    """From a row's place in its range to its place in its group, and whether the table may be broadcast.
-
-    Without groups there is one row per range. With them there is one more per
-    group at most, and never more than rows to number; if that is no sufficient
-    bound they are counted. A larger table joins by a shuffle.
-    """
-    if not within:
-        before = Window.partitionBy(F.lit(0)).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-        return counts.select(_RANGE, _sum_of_rows(before).alias(_SHIFT)), True
-    small = total <= MAX_BROADCAST_ROWS
-    if not small:
-        counts = scratch.keep(counts, "counts")
-        small = counts.count() <= MAX_BROADCAST_ROWS
-    group = quoted(within)
-    in_earlier_ranges = Window.partitionBy(group).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    of_earlier_groups = Window.partitionBy(_RANGE).orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
-    shift = _sum_of_rows(in_earlier_ranges) - _sum_of_rows(of_earlier_groups)
-    return counts.select(_RANGE, group, shift.alias(_SHIFT)), small
-
-
-def _sum_of_rows(window: WindowSpec) -> Column:
-    return F.coalesce(F.sum("_rows").over(window), F.lit(0))
-
-
-@dataclass(frozen=True)
-class _Bounds:
-    """Where the ranges start, by the leading columns of the order that are needed to tell them apart."""
-
-    columns: tuple[str, ...]
-    types: tuple[str, ...]
-    rows: list[tuple]
-
-    @property
-    def key(self) -> Column:
-        if len(self.columns) == 1:
-            return quoted(self.columns[0])
-        return _struct(self.columns)
-
-    @property
-    def kind(self) -> str:
-        if len(self.columns) == 1:
-            return self.types[0]
-        return "struct<" + ",".join(f"k{i}:{t}" for i, t in enumerate(self.types)) + ">"
-
-    @property
-    def values(self) -> list:
-        if len(self.columns) == 1:
-            return [row[0] for row in self.rows if row[0] is not None]
-        return [{f"k{i}": v for i, v in enumerate(row)} for row in self.rows]
-
-
-def _struct(columns: Sequence[str]) -> Column:
-    return F.struct(*[quoted(c).alias(f"k{i}") for i, c in enumerate(columns)])
-
-
-def _bounds(narrow: DataFrame, order: Sequence[str], ranges: int, total: int) -> _Bounds:
-    """Evenly spaced keys of a sample whose size depends on ``ranges`` only, never on the table.
-
-    The leading column usually cuts the order finely enough. Where a bound comes
-    twice, a run of equal keys is longer than a range, and more columns are used
-    to cut it.
-    """
-    if ranges == 1:
-        return _Bounds((), (), [])
-    types = [f.dataType.simpleString() for f in narrow.select(*[quoted(c) for c in order]).schema]
-    for depth in sorted({min(2, len(order)), len(order)}):
-        rows = _evenly_spaced(narrow.select(_struct(order[:depth]).alias("k")), ranges, total)
-        needed = next((n for n in range(1, depth + 1) if len({r[:n] for r in rows}) == len(rows)), None)
-        if needed:
-            break
-    needed = needed or depth
-    found = _Bounds(tuple(order[:needed]), tuple(types[:needed]), [r[:needed] for r in rows])
-    while len(json.dumps(found.values)) > MAX_BOUNDS_CHARS:
-        found = replace(found, rows=found.rows[1::2])
-    return found
-
-
-def _evenly_spaced(keys: DataFrame, ranges: int, total: int) -> list[tuple]:
-    wanted = min(MAX_SAMPLES, SAMPLES_PER_RANGE * ranges)
-    sampled = keys.sample(wanted / total, seed=17) if total > wanted else keys
-    ordered = sampled.agg(F.sort_array(F.collect_list("k")).alias("s"))
-    picks = F.transform(
-        F.sequence(F.lit(1), F.lit(ranges - 1)),
-        lambda i: F.get(F.col("s"), F.floor(i * F.size("s") / ranges).cast("int")),
+    group = F.col("row").getField(within) if within else F.lit(0)
+    placed = scratch.keep(
+        ordered.select("row", F.spark_partition_id().alias("range"), place.alias("place"), group.alias("group")),
+        "placed",
     )
-    # A sample that happens to be empty picks nothing.
-    picks = F.filter(picks, lambda p: p.isNotNull())
-    found = ordered.select(F.to_json(picks, {"ignoreNullFields": "false"})).first()[0]
-    return [tuple(entry.values()) for entry in json.loads(found or "[]")]
-
-
-def _with_range(frame: DataFrame, bounds: _Bounds) -> DataFrame:
-    """Add the number of bounds at or below each row.
-
-    A binary search in constant arrays, one projection per halving so that all
-    of it is compiled code. Many bounds are searched by blocks, which keeps only
-    one array of them all in the plan.
-    """
-    if not bounds.rows:
-        return frame.withColumn(_RANGE, F.lit(0))
-    values, key = bounds.values, bounds.key
-    if len(values) <= BLOCK:
-        table = _constant(values, f"array<{bounds.kind}>")
-        return _search(frame, table, len(values), key, _RANGE)
-    blocks = [values[i : i + BLOCK] for i in range(0, len(values), BLOCK)]
-    heads = _constant([block[0] for block in blocks[1:]], f"array<{bounds.kind}>")
-    found = _search(frame, heads, len(blocks) - 1, key, "_block")
-    found = found.withColumn("_bounds", F.get(_constant(blocks, f"array<array<{bounds.kind}>>"), F.col("_block")))
-    found = _search(found, F.col("_bounds"), BLOCK, key, _RANGE)
-    return found.withColumn(_RANGE, F.col("_block") * BLOCK + F.col(_RANGE)).drop("_block", "_bounds")
-
-
-def _search(frame: DataFrame, table: Column, size: int, key: Column, into: str) -> DataFrame:
-    frame = frame.withColumn(into, F.lit(0))
-    at = F.col(into)
-    for step in (1 << i for i in reversed(range(size.bit_length()))):
-        # Past the end `get` is null, and the position stays.
-        reached = F.get(table, at + F.lit(step - 1)) <= key
-        frame = frame.withColumn(into, F.when(reached, at + F.lit(step)).otherwise(at))
-    return frame
-
-
-def _constant(value: list, kind: str) -> Column:
-    return F.from_json(F.lit(json.dumps(value)), kind)
+    counts = placed.groupBy("range", "group").agg(F.count(F.lit(1)).alias("rows"))
+    in_earlier_ranges = Window.partitionBy("group").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    of_earlier_groups = Window.partitionBy("range").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    shift = _rows(in_earlier_ranges) - _rows(of_earlier_groups)
+    # Written, so that Spark knows its size when it plans the join: one row per range, and one more per group.
+    shifts = scratch.keep(counts.select("range", F.col("group").alias("of"), shift.alias("shift")), "shifts")
+    same = (placed["range"] == shifts["range"]) & placed["group"].eqNullSafe(shifts["of"])
+    found = placed.join(shifts, same)
+    own = [F.col("row").getField(c).alias(c) for c in frame.columns]
+    return found.select(*own, (F.col("place") + F.col("shift")).alias(into))
+
+
+def _rows(window: WindowSpec):
+    return F.coalesce(F.sum("rows").over(window), F.lit(0))

@@ -2,62 +2,82 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from weftgraph.operators import checks
-from weftgraph.operators.mapping import edge_frame, vertex_frame
-from weftgraph.sources import read_uncast
+from weftgraph.operators.mapping import vertex_frame
+from weftgraph.sources import side_by_side
 from weftgraph.spec import (
+    FieldPlan,
     GraphSchema,
     ImportSpec,
     Triplet,
     edge_property_fields,
     endpoint_fields,
+    key_column,
     validate,
     vertex_fields,
 )
 
 
+def _row_checks(fields: Sequence[FieldPlan], keys: Sequence[str]) -> dict[str, Column]:
+    """Conditions on the rows of ``side_by_side``, by name of the check."""
+    raw = {f.name: F.col("raw").getField(f.name) for f in fields}
+    typed = {f.name: F.col("typed").getField(f.name) for f in fields}
+    return {
+        "null_keys": reduce(lambda a, b: a | b, [typed[k].isNull() for k in keys]),
+        "out_of_range": checks.is_out_of_range(typed, {f.name: f.type for f in fields}),
+        "lost_cells": reduce(lambda a, b: a | b, [raw[f.name].isNotNull() & typed[f.name].isNull() for f in fields]),
+    }
+
+
 def vertex_checks(spark: SparkSession, schema: GraphSchema, spec: ImportSpec, label: str) -> dict[str, DataFrame]:
-    """The offending rows of a label, by name of the check."""
+    """The offending rows of a label (structs ``raw`` and ``typed``), by name of the check; repeated keys as they are."""
     fields = vertex_fields(schema, spec, label)
+    key = key_column(schema, spec, label)
+    rows = side_by_side(spark, spec.source, spec.vertex(label).inputs, fields)
+    found = {name: rows.where(condition) for name, condition in _row_checks(fields, [key]).items()}
     vertex = vertex_frame(spark, schema, spec, label, on_error="null")
-    uncast = read_uncast(spark, spec.source, spec.vertex(label).inputs, fields)
-    declared = {f.name: f.type for f in fields}
-    return {
-        "null_keys": checks.null_keys(vertex.frame, vertex.key),
-        "duplicate_keys": checks.duplicate_keys(vertex.frame, vertex.key),
-        "out_of_range": checks.out_of_range(vertex.frame, declared),
-        "lost_cells": checks.lost_cells(uncast, declared),
-    }
+    return found | {"duplicate_keys": checks.duplicate_keys(vertex.frame, vertex.key)}
 
 
 def edge_checks(spark: SparkSession, schema: GraphSchema, spec: ImportSpec, triplet: Triplet) -> dict[str, DataFrame]:
-    """The offending rows of a triplet, by name of the check."""
-    fields = [*endpoint_fields(schema, spec, triplet), *edge_property_fields(schema, spec, triplet)]
-    edge = edge_frame(spark, schema, spec, triplet, on_error="null")
-    uncast = read_uncast(spark, spec.source, spec.edge(triplet).inputs, fields)
-    declared = {f.name: f.type for f in fields}
-    return {
-        "null_keys": edge.frame.where(F.col("src").isNull() | F.col("dst").isNull()),
-        "out_of_range": checks.out_of_range(edge.frame, declared),
-        "lost_cells": checks.lost_cells(uncast, declared),
-    }
+    """The offending rows of a triplet (structs ``raw`` and ``typed``), by name of the check."""
+    ends = endpoint_fields(schema, spec, triplet)
+    fields = [*ends, *edge_property_fields(schema, spec, triplet)]
+    rows = side_by_side(spark, spec.source, spec.edge(triplet).inputs, fields)
+    return {name: rows.where(condition) for name, condition in _row_checks(fields, [e.name for e in ends]).items()}
 
 
 def check_sources(spark: SparkSession, schema: GraphSchema, spec: ImportSpec) -> DataFrame:
-    """Number of offending rows per label or triplet and check."""
+    """Number of offending rows per label or triplet and check.
+
+    A type's rows are read once for all checks of single rows, and once more, its key
+    alone, for repeated keys.
+    """
     validate(schema, spec)
-    found = {(m.label, c): f for m in spec.vertices for c, f in vertex_checks(spark, schema, spec, m.label).items()}
+    counted = []
+    for mapping in spec.vertices:
+        label = mapping.label
+        fields = vertex_fields(schema, spec, label)
+        rows = side_by_side(spark, spec.source, mapping.inputs, fields)
+        counted.append(_counts(rows, label, _row_checks(fields, [key_column(schema, spec, label)])))
+        vertex = vertex_frame(spark, schema, spec, label, on_error="null")
+        repeated = checks.duplicate_keys(vertex.frame, vertex.key)
+        counted.append(_counts(repeated, label, {"duplicate_keys": F.lit(True)}))
     for mapping in spec.edges:
-        for check, frame in edge_checks(spark, schema, spec, mapping.triplet).items():
-            found[str(mapping.triplet), check] = frame
-    counted = [
-        frame.groupBy().agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(name).alias("name"), F.lit(check).alias("check"), "rows"
-        )
-        for (name, check), frame in found.items()
-    ]
+        ends = endpoint_fields(schema, spec, mapping.triplet)
+        fields = [*ends, *edge_property_fields(schema, spec, mapping.triplet)]
+        rows = side_by_side(spark, spec.source, mapping.inputs, fields)
+        counted.append(_counts(rows, str(mapping.triplet), _row_checks(fields, [e.name for e in ends])))
     return reduce(DataFrame.unionByName, counted)
+
+
+def _counts(rows: DataFrame, name: str, conditions: dict[str, Column]) -> DataFrame:
+    """One row per condition with its number of rows, from one pass."""
+    of_rows = rows.agg(*[F.count_if(condition).alias(check) for check, condition in conditions.items()])
+    each = [F.struct(F.lit(check).alias("check"), F.col(check).alias("rows")) for check in conditions]
+    return of_rows.select(F.lit(name).alias("name"), F.inline(F.array(*each)))

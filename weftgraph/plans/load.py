@@ -2,29 +2,36 @@
 
 from __future__ import annotations
 
+import contextlib
+import os
+import posixpath
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
+from urllib.parse import unquote, urlsplit
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weftgraph.functions.types import quoted
-from weftgraph.operators.adjacency import adjacency, keep_edges, offsets
-from weftgraph.operators.endpoints import resolved_edges
+from weftgraph.operators.adjacency import adjacency, keep_matched, offsets
 from weftgraph.operators.index import chunk_of, vertex_index
 from weftgraph.operators.mapping import EdgeFrame, VertexFrame, edge_frame, vertex_frame
-from weftgraph.scratch import Scratch
+from weftgraph.scratch import Scratch, delete_folder
 from weftgraph.sinks.graph_files import (
     FILE_FORMATS,
+    OFFSET_COLUMNS,
+    IncompleteGraphError,
     columns_of,
     edge_path,
     read_chunks,
+    read_manifest,
+    version_path,
     vertex_path,
     write_chunks,
     write_manifest,
 )
-from weftgraph.sources.files import input_path
 from weftgraph.spec import GraphSchema, ImportSpec, SpecError, Triplet, validate
 
 VERTEX_CHUNK_SIZE = 1 << 18
@@ -45,7 +52,7 @@ class LoadOptions:
     vertex_chunk_size: int = VERTEX_CHUNK_SIZE
     edge_chunk_size: int = EDGE_CHUNK_SIZE
     column_naming: str = "property"
-    on_error: str = "raise"
+    on_error: str | None = None
     dangling: str = "drop"
     rows_per_range: int | None = None
     tables_at_once: int = 4
@@ -53,7 +60,7 @@ class LoadOptions:
     def check(self) -> None:
         for name, allowed in (
             ("file_format", FILE_FORMATS),
-            ("on_error", ("raise", "null")),
+            ("on_error", (None, "raise", "null")),
             ("dangling", ("drop", "error")),
         ):
             if getattr(self, name) not in allowed:
@@ -89,14 +96,14 @@ class LoadReport:
 
 
 def load_vertices(
-    spark: SparkSession, schema: GraphSchema, spec: ImportSpec, naming: str = "property", on_error: str = "raise"
+    spark: SparkSession, schema: GraphSchema, spec: ImportSpec, naming: str = "property", on_error: str | None = None
 ) -> dict[str, VertexFrame]:
     """The frame of every mapped label, not yet run."""
     return {m.label: vertex_frame(spark, schema, spec, m.label, naming, on_error) for m in spec.vertices}
 
 
 def load_edges(
-    spark: SparkSession, schema: GraphSchema, spec: ImportSpec, naming: str = "property", on_error: str = "raise"
+    spark: SparkSession, schema: GraphSchema, spec: ImportSpec, naming: str = "property", on_error: str | None = None
 ) -> dict[Triplet, EdgeFrame]:
     """The frame of every mapped triplet, not yet run."""
     return {m.triplet: edge_frame(spark, schema, spec, m.triplet, naming, on_error) for m in spec.edges}
@@ -107,36 +114,52 @@ def load_graph(
 ) -> LoadReport:
     """Load every mapped label and triplet and write the graph below ``path``.
 
-    Raises on any failure; the folder then has no complete manifest and is not
-    readable as a graph.
+    Raises on any failure. A first load then leaves no complete manifest, so the folder
+    is not readable as a graph; a load that replaces a graph leaves the old one.
     """
     options = options or LoadOptions()
     options.check()
     validate(schema, spec, options.column_naming)
-    _refuse_own_inputs(spec, path)
+    _need_skew_join(spark)
     frames = (spark, schema, spec, options.column_naming, options.on_error)
     vertices, edges = load_vertices(*frames), load_edges(*frames)
-    mode = spec.save_mode
-    write_manifest(spark, path, {"state": "loading"}, mode)
+    _refuse_own_inputs([f.frame for f in (*vertices.values(), *edges.values())], path)
+    replaced = None
+    if spec.save_mode == "overwrite":
+        with contextlib.suppress(IncompleteGraphError):
+            replaced = version_path(path, read_manifest(spark, path))
+    else:
+        write_manifest(spark, path, {"state": "loading"}, spec.save_mode)
+    version = f"version-{uuid.uuid4().hex}"
+    files = version_path(path, {"version": version})
     scratch = Scratch(spark)
     try:
+        if spec.source.options.get("mode") == "DROPMALFORMED":
+            # Which rows that drops depends on the columns a pass reads, so they are all read once.
+            vertices = {n: replace(v, frame=scratch.keep(v.frame, "source")) for n, v in vertices.items()}
+            edges = {n: replace(e, frame=scratch.keep(e.frame, "source")) for n, e in edges.items()}
+
         def store_label(vertex: VertexFrame) -> VertexReport:
-            return _store_vertices(vertex, path, mode, options, scratch)
+            return _store_vertices(vertex, files, options, scratch)
 
         stored = dict(zip(vertices, _together(spark, store_label, vertices.values(), options)))
-        indexes = {label: _index(spark, path, report, options) for label, report in stored.items()}
+        indexes = {label: _index(spark, files, report, options) for label, report in stored.items()}
         sizes = {label: report.rows for label, report in stored.items()}
 
         def store_triplet(edge: EdgeFrame) -> EdgeReport:
             out_only = schema.pair(edge.triplet).out_only
-            return _store_edges(edge, indexes, sizes, out_only, path, mode, options, scratch)
+            return _store_edges(edge, indexes, sizes, out_only, files, options, scratch)
 
         edge_reports = _together(spark, store_triplet, edges.values(), options)
+    except BaseException:
+        delete_folder(spark, files)
+        raise
     finally:
         scratch.discard()
     report = LoadReport(path, list(stored.values()), edge_reports)
     manifest = {
         "state": "complete",
+        "version": version,
         "name": schema.name,
         "format": options.file_format,
         "vertex_chunk_size": options.vertex_chunk_size,
@@ -145,22 +168,23 @@ def load_graph(
         "edges": [asdict(e) for e in report.edges],
     }
     write_manifest(spark, path, manifest, "overwrite")
+    if replaced:
+        delete_folder(spark, replaced)
     return report
 
 
-def _store_vertices(
-    vertex: VertexFrame, path: str, mode: str, options: LoadOptions, scratch: Scratch
-) -> VertexReport:
+def _store_vertices(vertex: VertexFrame, path: str, options: LoadOptions, scratch: Scratch) -> VertexReport:
     indexed, total = vertex_index(vertex.frame, vertex.key, scratch, options.rows_per_range)
     chunked = indexed.select(
         chunk_of("vid", options.vertex_chunk_size), "vid", *[quoted(c) for c in vertex.frame.columns]
     )
     target = vertex_path(path, vertex.label)
-    write_chunks(chunked.sortWithinPartitions("vertex_chunk", "vid"), target, options.file_format, mode)
+    write_chunks(chunked.sortWithinPartitions("vertex_chunk", "vid"), target, options.file_format, "errorifexists")
     columns = columns_of(chunked)
     written = read_chunks(vertex.frame.sparkSession, target, options.file_format, columns)
-    count, top = written.agg(F.count(F.lit(1)), F.max("vid")).first()
-    if count != total or (total and top != total - 1):
+    # As many rows as keys, all below their number, with the sum of 0, 1, 2, ...
+    count, top, added = written.agg(F.count(F.lit(1)), F.max("vid"), F.sum(F.col("vid").cast("decimal(38)"))).first()
+    if count != total or (total and (top != total - 1 or added != total * (total - 1) // 2)):
         raise UnstableSourceError(f"label {vertex.label!r}: {total} keys but {count} rows up to number {top}")
     return VertexReport(vertex.label, vertex.key, total, columns)
 
@@ -177,17 +201,13 @@ def _store_edges(
     sizes: dict[str, int],
     out_only: bool,
     path: str,
-    mode: str,
     options: LoadOptions,
     scratch: Scratch,
 ) -> EdgeReport:
     triplet = edge.triplet
-    found = resolved_edges(edge.frame, edge.src, edge.dst, indexes[triplet.source], indexes[triplet.destination])
-    kept = keep_edges(found, scratch)
-    total = kept.count()
-    dangling = edge.frame.count() - total
-    if dangling < 0:
-        raise UnstableSourceError(f"{triplet}: {total} edges resolved but {total + dangling} read")
+    kept, total, dangling = keep_matched(
+        edge.frame, edge.src, edge.dst, indexes[triplet.source], indexes[triplet.destination], scratch
+    )
     if dangling and options.dangling == "error":
         raise DanglingEdgesError(f"{triplet}: {dangling} edges have an end without a vertex")
     directions = ["source"] if out_only else ["source", "destination"]
@@ -196,33 +216,69 @@ def _store_edges(
         arranged = adjacency(
             kept, direction, scratch, options.vertex_chunk_size, options.edge_chunk_size, total, options.rows_per_range
         )
-        in_order = arranged.sortWithinPartitions("vertex_chunk", "pos")
-        write_chunks(in_order, edge_path(path, triplet, direction), options.file_format, mode)
+        in_order = arranged.sortWithinPartitions("vertex_chunk", "edge_chunk", "pos")
+        target, by = edge_path(path, triplet, direction), ("vertex_chunk", "edge_chunk")
+        write_chunks(in_order, target, options.file_format, "errorifexists", by)
         return columns_of(arranged)
 
     def store_offsets(direction: str) -> list:
         label = triplet.source if direction == "source" else triplet.destination
         starts = offsets(kept, direction, sizes[label], options.vertex_chunk_size)
-        write_chunks(starts, edge_path(path, triplet, direction, "_offsets"), options.file_format, mode)
+        write_chunks(starts, edge_path(path, triplet, direction, "_offsets"), options.file_format, "errorifexists")
         return columns_of(starts)
 
     parts = [(store, direction) for store in (store_adjacency, store_offsets) for direction in directions]
     columns = _together(kept.sparkSession, lambda part: part[0](part[1]), parts, options)[0]
+    for direction in directions:
+        verify_edges(kept.sparkSession, path, triplet, direction, options.file_format, columns, total)
     return EdgeReport(triplet.source, triplet.edge, triplet.destination, total, dangling, directions, columns)
 
 
-def _refuse_own_inputs(spec: ImportSpec, path: str) -> None:
-    """A graph cannot replace the files it is made from."""
-    if spec.source.kind != "file":
-        return
-    target = path.rstrip("/") + "/"
-    for mapping in (*spec.vertices, *spec.edges):
-        for name in mapping.inputs:
-            read = input_path(spec.source.location, name).rstrip("/") + "/"
-            if read.startswith(target) or target.startswith(read):
+def verify_edges(
+    spark: SparkSession, path: str, triplet: Triplet, direction: str, file_format: str, columns: list, total: int
+) -> None:
+    """Raise unless the written edges and offsets both account for ``total`` edges, each place in a chunk once."""
+    edges = read_chunks(spark, edge_path(path, triplet, direction), file_format, columns)
+    by_chunk = edges.groupBy("vertex_chunk").agg(
+        F.count(F.lit(1)).alias("n"), F.max("pos").alias("top"), F.sum(F.col("pos").cast("decimal(38)")).alias("added")
+    )
+    offset_path = edge_path(path, triplet, direction, "_offsets")
+    closing = read_chunks(spark, offset_path, file_format, OFFSET_COLUMNS).groupBy("vertex_chunk")
+    both = by_chunk.join(closing.agg(F.max("offset").alias("end")), "vertex_chunk", "full")
+    n = F.coalesce("n", F.lit(0))
+    # Places below n with the sum of 0, 1, 2, ...
+    whole = (n == F.coalesce("end", F.lit(-1))) & ((n == 0) | ((F.col("top") == n - 1) & (F.col("added") * 2 == n * F.col("top"))))
+    rows, damaged = both.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(~whole)).first()
+    if rows != total or damaged:
+        raise UnstableSourceError(f"{triplet} by {direction}: {rows} edges written of {total}, {damaged} chunks damaged")
+
+
+def _need_skew_join(spark: SparkSession) -> None:
+    """The joins to a hub's number are only spread by Spark's adaptive skew join."""
+    for setting in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"):
+        if spark.conf.get(setting).lower() != "true":
+            raise ValueError(f"a load needs {setting}")
+
+
+def _refuse_own_inputs(frames: Iterable[DataFrame], path: str) -> None:
+    """A graph cannot replace the files it is made from, whatever they are called and whichever table they are in."""
+    scheme, target = _place(path)
+    for frame in frames:
+        for name in frame.inputFiles():
+            own, read = _place(name)
+            inside = read.startswith(target) or target.startswith(read)
+            if inside and (own == scheme or not own or not scheme):
                 raise SpecError(f"input {name!r} lies in the folder the graph is written to")
 
 
+def _place(path: str) -> tuple[str, str]:
+    """Scheme and host, and the path without dots, closed by a slash; a path without a scheme may be of any."""
+    parts = urlsplit(path)
+    if not parts.scheme:
+        return "", os.path.abspath(unquote(path)).rstrip("/") + "/"
+    return f"{parts.scheme}://{parts.netloc}", posixpath.normpath(unquote(parts.path)).rstrip("/") + "/"
+
+
 def _together(spark: SparkSession, work: Callable, tables: Iterable, options: LoadOptions) -> list:
     """Run the jobs of several tables side by side, so that small ones do not leave the cluster idle."""
     with ThreadPoolExecutor(options.tables_at_once) as pool:

@@ -230,6 +230,50 @@ def orc_scan(spark, sf_dir):
     return _line_edges(spark, _line_file(spark, columns, "orc"), ("lines",), [0] * 5)
 
 
+def _cells(spark: SparkSession, columns: dict[str, str], types: dict[str, tuple[str, str]]) -> tuple[GraphSchema, ImportSpec]:
+    """Expressions over the line items written as CSV, and a label that reads them: property to (column, type)."""
+    location = Scratch(spark).path
+    as_they_are = {"sep": "|", "header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    cells = spark.table("lineitem").selectExpr(*[f"{e} AS {c}" for c, e in columns.items()])
+    cells.write.options(**as_they_are).csv(f"{location}/cells")
+    properties = tuple(Property(p, t) for p, (_, t) in types.items())
+    schema = GraphSchema("cells", (VertexType("Cell", properties, ("id",)),))
+    order = list(columns)
+    mappings = tuple(ColumnMapping(c, p, order.index(c)) for p, (c, _) in types.items())
+    source = DataSource("file", location, "csv")
+    return schema, ImportSpec("cells", source, (VertexMapping("Cell", ("cells",), mappings),))
+
+
+@_query(
+    "SELECT 'Cell' AS name, 'null_keys' AS \"check\", count(*) FILTER (l_orderkey IS NULL) AS rows FROM lineitem "
+    "UNION ALL SELECT 'Cell', 'out_of_range', 0 UNION ALL SELECT 'Cell', 'duplicate_keys', count(*) FROM "
+    "(SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) "
+    "UNION ALL SELECT 'Cell', 'lost_cells', count(*) FILTER (l_linenumber IN (2, 3, 4)) FROM lineitem"
+)
+def csv_lost_cells(spark, sf_dir):
+    columns = {
+        "id": "l_orderkey * 10 + l_linenumber",
+        "flag": "CASE l_linenumber WHEN 2 THEN 'yes' WHEN 1 THEN 'true' ELSE 'false' END",
+        "part": "CASE WHEN l_linenumber = 3 THEN concat(' ', l_partkey, ' ') ELSE string(l_partkey) END",
+        "price": "CASE WHEN l_linenumber = 4 THEN 'n/a' ELSE string(l_extendedprice) END",
+    }
+    types = {"id": INT64, "flag": "DT_BOOL", "part": "DT_SIGNED_INT32", "price": "DT_DOUBLE"}
+    return check_sources(spark, *_cells(spark, columns, {p: (p, t) for p, t in types.items()}))
+
+
+@_query(
+    "SELECT l_orderkey * 10 + l_linenumber AS id, lpad(CAST(l_partkey AS VARCHAR), 8, '0') AS code, l_partkey AS part "
+    "FROM lineitem"
+)
+def csv_shared_column(spark, sf_dir):
+    columns = {"id": "l_orderkey * 10 + l_linenumber", "code": "lpad(l_partkey, 8, '0')"}
+    types = {"id": ("id", INT64), "code": ("code", "DT_STRING"), "part": ("code", INT64)}
+    schema, spec = _cells(spark, columns, types)
+    shared = tuple(replace(m, index=0) for m in spec.vertices[0].columns)
+    spec = replace(spec, vertices=(replace(spec.vertices[0], columns=shared),))
+    return vertex_frame(spark, schema, spec, "Cell").frame
+
+
 @_query("SELECT count(*) AS lines FROM lineitem")
 def text_line_count(spark, sf_dir):
     source = _line_file(spark, ["l_orderkey", "l_partkey"], "csv", header=False)
@@ -569,6 +613,33 @@ def graph_roundtrip_vertices(spark, sf_dir):
     return _loaded(spark, [BUILDING_PLACED]).vertices("BuildingCustomer")
 
 
+@_query(f"SELECT * FROM ({_adjacency_sql('source')}) WHERE vertex_chunk = 0 AND edge_chunk = 1")
+def graph_roundtrip_edge_chunk(spark, sf_dir):
+    return _loaded(spark, [CONTAINS]).edges(CONTAINS).where("vertex_chunk = 0 AND edge_chunk = 1")
+
+
+@_query(
+    f"SELECT CAST(vid // {VERTEX_CHUNK} AS BIGINT) AS vertex_chunk, CAST(vid AS BIGINT) AS vid, c_custkey AS copies, "
+    'c_nationkey AS _range, c_name AS _shift, c_acctbal AS "row", c_mktsegment AS lost FROM '
+    "(SELECT *, row_number() OVER (ORDER BY c_custkey) - 1 AS vid FROM customer)"
+)
+def graph_roundtrip_helper_names(spark, sf_dir):
+    types = {
+        "copies": ("c_custkey", INT64),
+        "_range": ("c_nationkey", "DT_SIGNED_INT32"),
+        "_shift": ("c_name", "DT_STRING"),
+        "row": ("c_acctbal", "DT_DOUBLE"),
+        "lost": ("c_mktsegment", "DT_STRING"),
+    }
+    properties = tuple(Property(p, t) for p, (_, t) in types.items())
+    schema = GraphSchema("names", (VertexType("Customer", properties, ("copies",)),))
+    mapping = VertexMapping("Customer", ("customer",), tuple(ColumnMapping(c, p) for p, (c, _) in types.items()))
+    path = Scratch(spark).path
+    options = LoadOptions(vertex_chunk_size=VERTEX_CHUNK, rows_per_range=SMALL_RANGE // 8)
+    load_graph(spark, schema, ImportSpec("names", DataSource("table"), (mapping,)), path, options)
+    return StoredGraph(spark, path).vertices("Customer")
+
+
 @_query(_offsets_sql("customer", "c_nationkey", "nation", "n_nationkey"))
 def graph_roundtrip_offsets(spark, sf_dir):
     return _loaded(spark, [LIVES_IN]).offsets(LIVES_IN, "destination")

@@ -1,12 +1,15 @@
 """The graph as files: one table per label and arrangement, chunk by chunk, and a manifest.
 
-    vertices/<label>/vertex_chunk=<n>/
-    edges/<source>/<edge>/<destination>/by_source/vertex_chunk=<n>/
-    edges/<source>/<edge>/<destination>/by_source_offsets/vertex_chunk=<n>/
+    <version>/vertices/<label>/vertex_chunk=<n>/
+    <version>/edges/<source>/<edge>/<destination>/by_source/vertex_chunk=<n>/edge_chunk=<m>/
+    <version>/edges/<source>/<edge>/<destination>/by_source_offsets/vertex_chunk=<n>/
     (the same with by_destination)
     manifest/
 
-The manifest is written last. Readers refuse a folder without a complete one.
+Each load writes a version folder of its own, which the manifest names. The manifest is
+written last, and readers refuse a folder without a complete one. So a load that
+replaces a graph leaves the old one in place until the new one is whole, and nothing of
+it afterwards.
 """
 
 from __future__ import annotations
@@ -41,15 +44,17 @@ def edge_path(root: str, triplet: Triplet, direction: str, part: str = "") -> st
     return f"{root.rstrip('/')}/edges/{names}/by_{direction}{part}"
 
 
-def write_chunks(frame: DataFrame, path: str, file_format: str, mode: str) -> None:
-    """Write a frame with a ``vertex_chunk`` column, one folder per chunk."""
+def write_chunks(
+    frame: DataFrame, path: str, file_format: str, mode: str, by: tuple[str, ...] = ("vertex_chunk",)
+) -> None:
+    """Write a frame with one folder per chunk, so that no file holds rows of two."""
     if file_format not in FILE_FORMATS:
         raise ValueError(f"graph files are {FILE_FORMATS}, not {file_format!r}")
     (
         frame.write.format(file_format)
         .mode(mode)
         .option("partitionOverwriteMode", "static")
-        .partitionBy("vertex_chunk")
+        .partitionBy(*by)
         .save(path)
     )
 
@@ -84,13 +89,18 @@ def _manifest_path(root: str) -> str:
     return f"{root.rstrip('/')}/manifest"
 
 
+def version_path(root: str, manifest: dict) -> str:
+    """The folder of the version that a manifest names."""
+    return f"{root.rstrip('/')}/{manifest['version']}"
+
+
 class StoredGraph:
     """A written graph, read back as frames."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
-        self.root = root
         self.manifest = read_manifest(spark, root)
+        self.root = version_path(root, self.manifest)
 
     def vertices(self, label: str) -> DataFrame:
         entry = self._find("vertices", lambda e: e["label"] == label, label)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftgraph.functions.types import cast_to, quoted
-from weftgraph.sources.files import input_path, read_columnar, read_csv
+from weftgraph.functions.types import cast_to, quoted, spark_type
+from weftgraph.sources.files import input_path, parsed_cells, read_columnar, read_csv
 from weftgraph.sources.tables import read_table
 from weftgraph.spec import DataSource, FieldPlan
 
@@ -18,17 +18,58 @@ def read_inputs(
     source: DataSource,
     inputs: Sequence[str],
     fields: Sequence[FieldPlan],
-    on_error: str = "raise",
+    on_error: str | None = None,
 ) -> DataFrame:
-    """UNION ALL of the inputs, projected to ``fields`` under their declared types and names."""
-    if source.kind == "file" and source.file_format == "csv" and len(set(inputs)) == len(inputs):
-        # One scan for all files: the plan does not grow with their number.
-        paths = [input_path(source.location, i) for i in inputs]
-        return project(read_csv(spark, paths, fields, source.options), fields)
-    frames = [project(read_source(spark, source, i, fields), fields, on_error) for i in inputs]
+    """UNION ALL of the inputs, projected to ``fields`` under their declared types and names.
+
+    ``on_error`` "raise" fails on a cell that does not fit its type, "null" makes it
+    null; without it CSV cells become null and casts of other sources fail.
+    """
+    if is_csv(source):
+        if on_error == "raise":
+            return strict_cells(spark, source, inputs, fields)
+        # One scan for files that are different: the plan does not grow with their number.
+        lots = [inputs] if len(set(inputs)) == len(inputs) else [[i] for i in inputs]
+        frames = [
+            read_csv(spark, [input_path(source.location, i) for i in lot], fields, source.options) for lot in lots
+        ]
+        return project(reduce(DataFrame.unionByName, frames), fields, "null")
+    frames = [project(read_source(spark, source, i, fields), fields, on_error or "raise") for i in inputs]
     return reduce(DataFrame.unionByName, frames)
 
 
+def is_csv(source: DataSource) -> bool:
+    return source.kind == "file" and source.file_format == "csv"
+
+
+def side_by_side(
+    spark: SparkSession, source: DataSource, inputs: Sequence[str], fields: Sequence[FieldPlan]
+) -> DataFrame:
+    """The inputs as structs ``raw``, cells as the source holds them, and ``typed``, null where they do not fit."""
+    uncast = read_uncast(spark, source, inputs, fields)
+    raw = F.struct(*[quoted(f.name) for f in fields]).alias("raw")
+    if is_csv(source):
+        both = uncast.select(raw, parsed_cells({f.name: quoted(f.name) for f in fields}, fields, source.options).alias("p"))
+        typed = [F.col("p").getField(f"c{i}").alias(f.name) for i, f in enumerate(fields)]
+        return both.select("raw", F.struct(*typed).alias("typed"))
+    kinds = {part.name: part.dataType for part in uncast.schema}
+    typed = [cast_to(quoted(f.name), kinds[f.name], f.type, "null").alias(f.name) for f in fields]
+    return uncast.select(raw, F.struct(*typed).alias("typed"))
+
+
+def strict_cells(
+    spark: SparkSession, source: DataSource, inputs: Sequence[str], fields: Sequence[FieldPlan]
+) -> DataFrame:
+    """CSV inputs under their types; a cell that the parser cannot read fails the job."""
+    both = side_by_side(spark, source, inputs, fields)
+    columns = []
+    for f in fields:
+        raw, typed = F.col("raw").getField(f.name), F.col("typed").getField(f.name)
+        failed = F.raise_error(F.concat(F.lit(f"{f.column} is no {f.type}: "), raw)).cast(spark_type(f.type))
+        columns.append(F.when(raw.isNotNull() & typed.isNull(), failed).otherwise(typed).alias(f.name))
+    return both.select(*columns)
+
+
 def read_uncast(
     spark: SparkSession, source: DataSource, inputs: Sequence[str], fields: Sequence[FieldPlan]
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F, types as T
 
 from weftgraph.functions.types import quoted, spark_type
 from weftgraph.spec import FieldPlan
@@ -33,9 +33,11 @@ def read_csv(
     all different, else in mapping order. Header names are not compared.
     ``as_text`` reads every cell as text, for the check of lost cells.
     """
+    types = {f.column: {spark_type(g.type) for g in fields if g.column == f.column} for f in fields}
     fields = list({f.column: f for f in fields}.values())
+    # A column with several types is read as text; each property then casts it for itself.
     declared = {
-        at: T.StructField(f.column, T.StringType() if as_text else spark_type(f.type))
+        at: T.StructField(f.column, T.StringType() if as_text or len(types[f.column]) > 1 else min(types[f.column], key=str))
         for at, f in zip(positions(fields), fields)
     }
     width = max(declared, default=-1) + 1
@@ -73,6 +75,28 @@ def csv_reader(spark: SparkSession, options: Mapping[str, str]) -> DataFrameRead
     return reader
 
 
+def parsed_cells(cells: Mapping[str, Column], fields: Sequence[FieldPlan], options: Mapping[str, str]) -> Column:
+    """Text cells (by name of the field) as the CSV parser reads them under the declared types: a struct, null where it cannot.
+
+    The cells go through the parser once more, because a cast would take other
+    texts for booleans and numbers than it does.
+    """
+    names = [f"c{i}" for i in range(len(fields))]
+    kinds = ", ".join(f"{n} {spark_type(f.type).simpleString()}" for n, f in zip(names, fields))
+    line = F.to_csv(F.struct(*[cells[f.name].alias(n) for n, f in zip(names, fields)]), _INNER)
+    return F.from_csv(line, kinds, {**_INNER, "mode": "PERMISSIVE"})
+
+
+# One dialect for cells that have left their file; white space stays as it is.
+_INNER = {
+    "sep": "|",
+    "quoteAll": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def read_columnar(spark: SparkSession, path: str, file_format: str) -> DataFrame:
     return spark.read.format(file_format).load(path)
 
