@@ -75,7 +75,7 @@ def test_pipeline(spark, duck):
         path = corpus_pipeline.Scratch(spark).folder(name)
         result.write.parquet(path)
         docs = spark.read.parquet(path)
-        kept[name] = [r["doc_id"] for r in docs.collect()]
+        kept[name] = [r["doc_id"] for r in docs.orderBy(corpus_pipeline.place_in_files(docs)).collect()]
     # Each stage on all its predecessor kept, by plain means.
     own = [(d, t) for d, t in texts(duck) if d in set(kept["language_id"])]
     groups = brute.linked_components(own)
