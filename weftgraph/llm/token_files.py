@@ -28,7 +28,7 @@ from weftgraph.scratch import Scratch
 BLOCK_IDS = 1 << 20
 # Texts tokenized at once, and pieces that a worker remembers (about 150 bytes each).
 _TEXTS = 300
-_CACHED = 1_500_000
+_CACHED = 600_000
 _CELLS = 1 << 12
 # Where a byte-level tokenizer always starts a new piece: at a space and around a line feed, each alone between other
 # characters.
