@@ -331,6 +331,19 @@ def test_mixing_stays_within_a_block_of_the_targets(spark, weights, sizes):
     assert ideal_and_lag(order, {s: parts[source_key(s)] for s in weights}, sizes) < 1
 
 
+@pytest.mark.parametrize(
+    "weights, sizes",
+    [({"a": 5, "b": 3, "c": 1}, {"a": 5000, "b": 3100, "c": 900}), ({"a": 1000**0.7, "b": 0.01}, {"a": 6000, "b": 3})],
+)
+def test_mixing_follows_the_target_weights_over_many_slots(spark, weights, sizes):
+    rows = [(i, s) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+    frame = spark.createDataFrame(rows, "doc_id bigint, source string")
+    placed = mixed(frame, {source_key(s): w for s, w in weights.items()}, Scratch(spark), block_rows=1)
+    found = placed.select("slot", "row.source").orderBy("slot").collect()
+    assert [r["slot"] for r in found] == list(range(len(rows)))
+    assert ideal_and_lag([r["source"] for r in found], weights, sizes) < 1
+
+
 def test_mixing_awkward_rows(spark, docs):
     frame = docs.withColumn("source", F.expr("CASE WHEN doc_id % 2 = 0 THEN 'even' WHEN doc_id > 5 THEN 'odd' END"))
     weights = {source_key("even"): 2.0, source_key("odd"): 1.0, source_key(None): 0.5, source_key("absent"): 9.0}

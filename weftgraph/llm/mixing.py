@@ -8,11 +8,10 @@ then had less than one block more or less than the ideal mix. Where a source run
 out, the ideal mix goes on with the weights of the others, so every document is
 placed.
 
-The ideal mix repeats every ``sum of weights`` slots, and all sources are exactly on
-target at the ends of such rounds. So the schedule of a round is worked out once for
-each set of blocks that a round can have (it changes only where a source runs out,
-at most 2 * sources + 1 times), and a block's slot follows from its number. No task
-or driver walks through all blocks.
+Weights keep 40 bits at least, and 20 bits more than the number of blocks has, so the
+mix follows the target weights themselves: rounding moves no source by a millionth of a
+block in all. The driver walks once through all blocks (one for ``block_rows`` rows, 64
+by default) and holds a source and a number for each; rows never come to it.
 """
 
 from __future__ import annotations
@@ -21,25 +20,28 @@ import heapq
 from collections.abc import Mapping
 from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from weftgraph.functions.types import quoted
 from weftgraph.operators.ranking import numbered
 from weftgraph.scratch import Scratch
 
-# Slots of a round; more sources than that get as many slots as there are sources.
-ROUND = 1000
+# The least sum of integer weights, and how many times the number of blocks it is at least.
+ROUND = 1 << 40
+PER_BLOCK = 1 << 20
 BLOCK_ROWS = 64
-# Rows of the round table that may be broadcast (about 40 bytes each).
+# Rows of the table of blocks that may be broadcast (about 40 bytes each).
 BROADCAST_ROWS = 1 << 20
 
 
 def integer_weights(weights: Mapping[str, float], round_slots: int = ROUND) -> dict[str, int]:
-    """Weights as slots of a round, by largest remainder, at least one each."""
+    """Weights as integers that add up to ``round_slots``, by largest remainder, at least one each."""
     if any(w <= 0 for w in weights.values()):
         raise ValueError("weights must be positive")
-    total, slots = sum(weights.values()), max(round_slots, len(weights))
-    exact = {s: w / total * slots for s, w in weights.items()}
+    own = {s: Fraction(w) for s, w in weights.items()}
+    total, slots = sum(own.values()), max(round_slots, len(weights))
+    exact = {s: w / total * slots for s, w in own.items()}
     found = {s: max(1, int(x)) for s, x in exact.items()}
     for s in sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s)):
         if sum(found.values()) >= slots:
@@ -49,7 +51,7 @@ def integer_weights(weights: Mapping[str, float], round_slots: int = ROUND) -> d
 
 
 def round_schedule(weights: Mapping[str, int], blocks: Mapping[str, int]) -> list[tuple[str, int]]:
-    """The (source, block) of each slot of one round in which source ``s`` has ``blocks[s]`` <= ``weights[s]`` blocks."""
+    """The (source, block) of each slot of a mix in which source ``s`` has ``blocks[s]`` blocks."""
     ideal = _ideal_times(weights, blocks)
     waiting = [(Fraction(0), s, 0) for s, n in sorted(blocks.items()) if n]
     heapq.heapify(waiting)
@@ -79,17 +81,6 @@ def _ideal_times(weights: Mapping[str, int], blocks: Mapping[str, int]) -> list[
     return times
 
 
-def _rounds(weights: Mapping[str, int], blocks: Mapping[str, int]) -> list[tuple[int, int, dict[str, int]]]:
-    """(first round, first slot, blocks a round) of each run of rounds that are alike."""
-    turns = sorted({0, *[n // weights[s] for s, n in blocks.items()], *[-(-n // weights[s]) for s, n in blocks.items()]})
-    found, slot = [], 0
-    for first, until in zip(turns, [*turns[1:], turns[-1] + 1]):
-        own = {s: min(weights[s], max(0, n - first * weights[s])) for s, n in blocks.items()}
-        found.append((first, slot, own))
-        slot += sum(own.values()) * (until - first)
-    return found
-
-
 def tempered_weights(sizes: Mapping[str, int], exponent: float) -> dict[str, float]:
     """Weights between equal shares (exponent 0) and shares by size (1)."""
     return {s: n**exponent for s, n in sizes.items()}
@@ -133,19 +124,19 @@ def mixed(
     missing = sorted(set(sizes) - set(weights))
     if missing:
         raise ValueError(f"no weight for {missing[:5]}")
-    parts = integer_weights({s: weights[s] for s in sizes}) if sizes else {}
     blocks = {s: -(-n // block_rows) for s, n in sizes.items()}
-    runs = _rounds(parts, blocks) if sizes else []
-    table = []
-    for number, (first, slot, own) in enumerate(runs):
-        length = sum(own.values())
-        for at, (s, k) in enumerate(round_schedule(parts, own)):
-            table.append((s, number, k, first, slot, length, at))
-    spark = docs.sparkSession
-    columns = "key string, run int, k bigint, first bigint, slot bigint, length bigint, at bigint"
-    rounds = spark.createDataFrame(table, columns)
-    if len(table) <= BROADCAST_ROWS:
-        rounds = F.broadcast(rounds)
+    slots = max(ROUND, PER_BLOCK * sum(blocks.values()))
+    order = round_schedule(integer_weights({s: weights[s] for s in sizes}, slots), blocks) if sizes else []
+    table = pa.table(
+        {
+            "key": pa.array([s for s, _ in order], type=pa.string()),
+            "source_block": pa.array([k for _, k in order], type=pa.int64()),
+            "slot": pa.array(range(len(order)), type=pa.int64()),
+        }
+    )
+    schedule = docs.sparkSession.createDataFrame(table)
+    if len(order) <= BROADCAST_ROWS:
+        schedule = F.broadcast(schedule)
     rows = docs.select(
         F.struct(*[quoted(c) for c in docs.columns]).alias("row"),
         _key(source_column).alias("key"),
@@ -156,23 +147,10 @@ def mixed(
     ranked = numbered(
         rows, ["key", "mix", "number"], "rank", scratch, within="key", total=total, rows_per_range=rows_per_range
     )
-    weight = F.create_map(*[F.lit(x) for s, w in parts.items() for x in (s, w)]) if parts else F.lit(None)
-    starts = F.array(*[F.lit(first) for first, _, _ in runs]) if runs else F.array(F.lit(0))
-    block = F.expr(f"rank div {int(block_rows)}")
     placed = ranked.select(
         "row",
         "key",
-        block.alias("source_block"),
+        F.expr(f"rank div {int(block_rows)}").alias("source_block"),
         (F.col("rank") % block_rows).cast("int").alias("place"),
-        (F.try_element_at(weight, F.col("key")) if parts else F.lit(1)).cast("bigint").alias("weight"),
-    )
-    placed = placed.withColumn("turn", F.expr("source_block div weight")).withColumn(
-        "run", (F.size(F.filter(starts, lambda first: first <= F.col("turn"))) - 1).cast("int")
-    )
-    placed = placed.withColumn("k", F.col("source_block") - F.col("turn") * F.col("weight"))
-    return placed.join(rounds, ["key", "run", "k"]).select(
-        "row",
-        "source_block",
-        (F.col("slot") + (F.col("turn") - F.col("first")) * F.col("length") + F.col("at")).alias("slot"),
-        "place",
     )
+    return placed.join(schedule, ["key", "source_block"]).select("row", "source_block", "slot", "place")
