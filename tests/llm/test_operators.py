@@ -236,6 +236,26 @@ def test_license_scan(spark):
     assert {d for d, _ in found} == {1, 2, None}
 
 
+def test_license_scan_of_whole_licenses_and_short_texts(spark):
+    rng = random.Random(12)
+    words = [f"w{rng.randrange(900)}" for _ in range(5600)]
+    spoilt = [w if i % 40 else "changed" for i, w in enumerate(words)]
+    other = [f"v{rng.randrange(900)}" for _ in range(300)]
+    notice = TEMPLATES["bsd"].split()
+    rows = [(1, other + words + other), (2, spoilt), (3, words[:4500]), (4, words[:4100]), (5, other + words[700:720] + other), (6, notice[:-2]), (7, notice[:8])]
+    frame = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id bigint, text string")
+    found = license_scan(frame, templates={"long": " ".join(words), "bsd": TEMPLATES["bsd"]}).collect()
+    cut = lambda own: [" ".join(own[i : i + 5]) for i in range(len(own) - 4)]
+    wanted = {"long": set(cut(words)), "bsd": set(cut(TEMPLATES["bsd"].lower().replace(",", "").split()))}
+    got = {(r["doc_id"], r["template"]): (r["n_shingles"], r["n_found"]) for r in found}
+    assert got[1, "long"] == (len(wanted["long"]), len(wanted["long"]))
+    for d in (2, 3):
+        assert got[d, "long"] == (len(wanted["long"]), len(wanted["long"] & set(cut(dict(rows)[d]))))
+    assert got[6, "bsd"] == (len(wanted["bsd"]), len(wanted["bsd"]) - 2)
+    assert set(got) == {(1, "long"), (2, "long"), (3, "long"), (6, "bsd")}
+    assert license_scan(frame, short_texts=False).where("template = 'bsd'").count() == 0
+
+
 def test_language_model_scores(spark, docs):
     found = language_scores(docs, Scratch(spark)).collect()
     assert len(found) == len(ROWS)
