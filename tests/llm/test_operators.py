@@ -17,7 +17,7 @@ from weftgraph.llm.components import components
 from weftgraph.llm.decontaminate import decontaminate
 from weftgraph.llm.exact_dedup import exact_dedup
 from weftgraph.llm.jaccard_join import jaccard_components
-from weftgraph.llm.language import LanguageModel, held_out, identify, labelled_sample, learned
+from weftgraph.llm.language import LanguageModel, held_out, identify, labelled_sample, learned, training_steps
 from weftgraph.llm.language_model import language_scores
 from weftgraph.llm.license_scan import TEMPLATES, license_scan
 from weftgraph.llm.mixing import integer_weights, mixed, round_schedule, source_key
@@ -317,6 +317,14 @@ def test_language_labels_are_sampled_from_training_rows(spark):
     assert frame.where(held_out(F.col("doc_id"))).count() == sum(zlib.crc32(str(i).encode()) % 3 == 1 for i in range(3000))
 
 
+def test_every_label_is_learned(spark):
+    names = "concat('l', id % 300)"
+    frame = spark.range(3000).selectExpr("id AS doc_id", f"concat('text ', {names}) AS text", f"{names} AS lang")
+    texts, labels = labelled_sample(frame)
+    assert len(set(labels)) == 300 and all(t.decode() == f"text {n}" for t, n in zip(texts, labels))
+    assert training_steps(4) == 160 and training_steps(300) >= 1500
+
+
 def ideal_and_lag(order, weights, blocks):
     """The largest distance of any source from the even mix, at any slot."""
     done, ideal, worst = dict.fromkeys(blocks, 0), dict.fromkeys(blocks, 0.0), 0.0

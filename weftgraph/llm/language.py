@@ -3,9 +3,9 @@
 The network reads a text in pieces of ``PIECE`` bytes, forwards and backwards, and
 labels every byte with probabilities of the languages; a document's probability is
 the mean over the bytes of its letters. It is trained here, in numpy, by
-backpropagation through time on a bounded sample: ``PER_LANGUAGE`` documents of
-each of the ``MOST_LANGUAGES`` commonest labels, ``SAMPLE_CHARS`` characters of each
-from a place given by a hash. Prediction covers every byte of every text.
+backpropagation through time on a sample: ``PER_LANGUAGE`` documents of each label,
+however many labels there are, ``SAMPLE_CHARS`` characters of each from a place given
+by a hash. Updates grow with the number of labels. Prediction covers every byte of every text.
 
 Gates are piecewise linear (a clipped line in place of the logistic function and of
 the hyperbolic tangent), which numpy evaluates many times faster.
@@ -26,11 +26,12 @@ from weftgraph.llm import grams
 HIDDEN = 8
 PIECE = 256
 PER_LANGUAGE = 400
-MOST_LANGUAGES = 256
 SAMPLE_CHARS = 512
 TRAIN_PIECE = 96
 TRAIN_BATCH = 128
+# Updates at least, and for each label.
 TRAIN_STEPS = 160
+STEPS_PER_LANGUAGE = 5
 # Pieces that go through the network side by side, and steps whose labels are made at once.
 _SIDE_BY_SIDE = 2048
 _AT_ONCE = 32
@@ -134,6 +135,10 @@ class LanguageModel:
         return total / np.maximum(letters, 1)[:, None]
 
 
+def training_steps(languages: int) -> int:
+    return max(TRAIN_STEPS, STEPS_PER_LANGUAGE * languages)
+
+
 def learned(texts: list[bytes], labels: list[str], seed: int = 11) -> LanguageModel:
     """Train on labelled texts, every position with its document's label. Deterministic."""
     random = np.random.default_rng(seed)
@@ -157,7 +162,8 @@ def learned(texts: list[bytes], labels: list[str], seed: int = 11) -> LanguageMo
     parameters = [model.output, *[p for w in ways for p in (w.table, w.inner)]]
     means = [np.zeros_like(p) for p in parameters]
     squares = [np.zeros_like(p) for p in parameters]
-    for step in range(1, TRAIN_STEPS + 1):
+    steps = training_steps(len(present))
+    for step in range(1, steps + 1):
         target = random.choice(present, TRAIN_BATCH)
         rows = []
         for i in target:
@@ -182,7 +188,7 @@ def learned(texts: list[bytes], labels: list[str], seed: int = 11) -> LanguageMo
             *model.backwards.gradients(codes[::-1], trace_behind, of_states[::-1, HIDDEN:]),
         ]
         size = float(np.sqrt(sum((g * g).sum() for g in gradients)))
-        rate = 0.03 * min(1.0, 2 * (1 - step / (TRAIN_STEPS + 1)))
+        rate = 0.03 * min(1.0, 2 * (1 - step / (steps + 1)))
         for p, g, mean, square in zip(parameters, gradients, means, squares):
             g = g / max(1.0, size)
             mean += 0.1 * (g - mean)
@@ -199,7 +205,7 @@ def held_out(doc_id: Column, remainder: int = 1, of: int = 3) -> Column:
 def labelled_sample(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "lang"
 ) -> tuple[list[bytes], list[str]]:
-    """At most PER_LANGUAGE rows of each of MOST_LANGUAGES labels, not held out, spread by a hash.
+    """At most PER_LANGUAGE rows of each label, not held out, spread by a hash.
 
     Rows whose id, text or label is null are left out. Before rows are ranked, a
     share of each label's rows is taken by the hash, so that ranking handles a few
@@ -211,17 +217,15 @@ def labelled_sample(
         F.col(f"`{label_column}`").cast("string").alias("label"),
     ).where("id IS NOT NULL AND text IS NOT NULL AND label IS NOT NULL")
     rows = rows.where(~held_out(F.col("id")))
-    found = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(MOST_LANGUAGES)
+    found = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     counts = {r["label"]: r["n"] for r in found.collect()}
     if not counts:
         return [], []
     scale = 1 << 30
-    share = F.create_map(
-        *[F.lit(x) for label, n in counts.items() for x in (label, int(scale * min(1.0, 4 * PER_LANGUAGE / n)))]
-    )
+    shares = [(label, int(scale * min(1.0, 4 * PER_LANGUAGE / n))) for label, n in sorted(counts.items())]
+    share = docs.sparkSession.createDataFrame(shares, "label string, share bigint")
     mark = F.pmod(F.xxhash64("id", "text"), F.lit(scale))
-    taken = rows.where(F.col("label").isin(*counts)).select("id", "text", "label", mark.alias("mark"))
-    taken = taken.where(F.col("mark") < F.try_element_at(share, F.col("label")))
+    taken = rows.select("id", "text", "label", mark.alias("mark")).join(F.broadcast(share), "label").where("mark < share")
     place = 1 + F.pmod(F.xxhash64("text", "id"), F.greatest(F.char_length("text") - SAMPLE_CHARS + 1, F.lit(1)))
     ranked = taken.select(
         "label",
