@@ -193,6 +193,12 @@ def test_jaccard_components(spark, docs):
     assert by_id(found, "n_shingles", "component_id") == want
 
 
+@pytest.mark.parametrize("percent", [30, 50, 101])
+def test_jaccard_refuses_what_its_bounds_do_not_cover(spark, docs, percent):
+    with pytest.raises(ValueError, match="percent"):
+        jaccard_components(docs, Scratch(spark), percent=percent)
+
+
 def near_copies():
     """Small and large sets, groups of near copies around a text, chains, and a passage that many share."""
     rng, rows = random.Random(8), []
