@@ -7,6 +7,7 @@ from collections.abc import Callable
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from weftgraph.llm import merkle
 from weftgraph.llm.decontaminate import decontaminate
 from weftgraph.llm.exact_dedup import exact_dedup
 from weftgraph.llm.jaccard_join import jaccard_components
@@ -83,6 +84,23 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan(_table(spark, folder, "documents"), short_texts=False)
 
 
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    tampered = {"n_chars": F.when(chosen, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+    found = merkle.manifest(documents, Scratch(spark), ["doc_id", "source", "lang", "n_chars", "text"], changed=tampered)
+    refolded = found.withColumn("folded_root", merkle.folded(F.col("changed_leaf"), F.col("path")))
+    return refolded.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.sha256(merkle.siblings(F.col("path"))).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
@@ -95,4 +113,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_files": op8_token_files,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_license_scan": op10_license_scan,
+        "op12_merkle_manifest": op12_merkle_manifest,
     }

@@ -77,6 +77,69 @@ FROM d LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
 
+# crc32 byte by byte; trees level by level, then every leaf climbs to its subroot and on to the root.
+MERKLE = r"""
+WITH RECURSIVE crc(b, k, c) AS (
+  SELECT b, 0, b FROM range(256) AS r(b)
+  UNION ALL
+  SELECT b, k + 1, xor(c >> 1, (c & 1) * 3988292384) FROM crc WHERE k < 8
+), crc_table AS (
+  SELECT b, c FROM crc WHERE k = 8
+), crc_steps(doc_id, s, k, c) AS (
+  SELECT doc_id, CAST(doc_id AS VARCHAR), 0, 4294967295 FROM documents
+  UNION ALL
+  SELECT doc_id, s, k + 1, xor(crc_steps.c >> 8, t.c)
+  FROM crc_steps JOIN crc_table AS t ON t.b = xor(crc_steps.c & 255, ord(s[k + 1])) WHERE k < length(s)
+), chosen AS (
+  SELECT DISTINCT doc_id FROM crc_steps WHERE k = length(s) AND xor(c, 4294967295) % 7 = 0
+), d AS (
+  SELECT doc_id, lang, source, n_chars, text,
+         n_chars + CAST(chosen.doc_id IS NOT NULL AS BIGINT) AS n_chars_after
+  FROM documents LEFT JOIN chosen USING (doc_id)
+), parts AS (
+  SELECT doc_id, lang, n_chars, n_chars_after,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+           || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+         coalesce(strlen(text) || ':' || text, '-') AS tail
+  FROM d
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n
+  FROM (
+    SELECT doc_id, coalesce('=' || lang, '-') AS lang,
+           sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+           sha256(head || coalesce(strlen(CAST(n_chars_after AS VARCHAR)) || ':' || n_chars_after, '-') || tail) AS changed
+    FROM parts)
+), nodes(lang, l, i, n, h) AS (
+  SELECT lang, 0, i, n, leaf FROM leaves
+  UNION ALL
+  SELECT lang, l + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM nodes WHERE n > 1
+  GROUP BY lang, l, i // 2, n
+), subroots AS (
+  SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1
+), tops(l, i, n, h) AS (
+  SELECT 0, i, n, subroot FROM subroots
+  UNION ALL
+  SELECT l + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM tops WHERE n > 1 GROUP BY l, i // 2, n
+), up(doc_id, leaf, lang, l, i, n, h, proof) AS (
+  SELECT doc_id, leaf, lang, 0, i, n, changed, '' FROM leaves
+  UNION ALL
+  SELECT doc_id, leaf, up.lang, up.l + 1, up.i // 2, (up.n + 1) // 2,
+         sha256(CASE WHEN o.h IS NULL THEN up.h WHEN o.i < up.i THEN o.h || up.h ELSE up.h || o.h END),
+         proof || coalesce(o.h, '')
+  FROM up LEFT JOIN nodes AS o ON o.lang = up.lang AND o.l = up.l AND o.i = xor(up.i, 1) WHERE up.n > 1
+), over(doc_id, leaf, subroot, l, i, n, h, proof) AS (
+  SELECT doc_id, leaf, subroot, 0, s.i, s.n, h, proof FROM up JOIN subroots AS s USING (lang) WHERE up.n = 1
+  UNION ALL
+  SELECT doc_id, leaf, subroot, over.l + 1, over.i // 2, (over.n + 1) // 2,
+         sha256(CASE WHEN o.h IS NULL THEN over.h WHEN o.i < over.i THEN o.h || over.h ELSE over.h || o.h END),
+         proof || coalesce(o.h, '')
+  FROM over LEFT JOIN tops AS o ON o.l = over.l AND o.i = xor(over.i, 1) WHERE over.n > 1
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, over.h AS folded_root, over.h = root AS verified
+FROM over, (SELECT h AS root FROM tops WHERE n = 1) WHERE over.n = 1
+"""
+
+
 def license_scan_sql() -> str:
     """For each template the windows of its length that hold most of its shingles."""
     notices = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in sorted(TEMPLATES.items()))
@@ -118,4 +181,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_decontaminate": DECONTAMINATE,
         "op10_license_scan": license_scan_sql(),
         "op6_exact_dedup": EXACT_DEDUP,
+        "op12_merkle_manifest": MERKLE,
     }
