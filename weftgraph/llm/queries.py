@@ -15,6 +15,7 @@ from weftgraph.llm.language import held_out, identify, labelled_sample, learned
 from weftgraph.llm.language_model import language_scores
 from weftgraph.llm.license_scan import license_scan
 from weftgraph.llm.mixing import mixed, source_sizes, tempered_weights
+from weftgraph.llm.spelling import spelling_variants, word_counts
 from weftgraph.llm.substring_dedup import substring_dedup
 from weftgraph.llm.suffix_dedup import suffix_dedup
 from weftgraph.llm.token_files import read_token_files, write_token_files
@@ -84,6 +85,12 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan(_table(spark, folder, "documents"), short_texts=False)
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = Scratch(spark)
+    words = word_counts(_table(spark, folder, "documents"), least=6, least_count=5, damage=199)
+    return spelling_variants(scratch.keep(words, "words"), scratch)
+
+
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
     chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
@@ -113,5 +120,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_files": op8_token_files,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_license_scan": op10_license_scan,
+        "op11_spelling_variants": op11_spelling_variants,
         "op12_merkle_manifest": op12_merkle_manifest,
     }

@@ -77,15 +77,18 @@ FROM d LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
 
-# crc32 byte by byte; trees level by level, then every leaf climbs to its subroot and on to the root.
-MERKLE = r"""
-WITH RECURSIVE crc(b, k, c) AS (
+# The remainders that crc32 takes byte by byte.
+_CRC_TABLE = """crc(b, k, c) AS (
   SELECT b, 0, b FROM range(256) AS r(b)
   UNION ALL
   SELECT b, k + 1, xor(c >> 1, (c & 1) * 3988292384) FROM crc WHERE k < 8
 ), crc_table AS (
   SELECT b, c FROM crc WHERE k = 8
-), crc_steps(doc_id, s, k, c) AS (
+)"""
+
+# Trees level by level, then every leaf climbs to its subroot and on to the root.
+MERKLE = rf"""
+WITH RECURSIVE {_CRC_TABLE}, crc_steps(doc_id, s, k, c) AS (
   SELECT doc_id, CAST(doc_id AS VARCHAR), 0, 4294967295 FROM documents
   UNION ALL
   SELECT doc_id, s, k + 1, xor(crc_steps.c >> 8, t.c)
@@ -140,6 +143,56 @@ FROM over, (SELECT h AS root FROM tops WHERE n = 1) WHERE over.n = 1
 """
 
 
+# Words are near if they agree without one code point of each at the same place, or without one of the longer.
+SPELLING = rf"""
+WITH RECURSIVE {_CRC_TABLE}, runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{00C0}}-\x{{00FF}}]+')) AS run
+  FROM documents
+), counted AS (
+  SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY 1, 2
+), signed AS (
+  SELECT *, hex(encode(doc_id || ':' || run)) AS s FROM counted
+), steps(doc_id, run, s, k, c) AS (
+  SELECT doc_id, run, s, 0, 4294967295 FROM signed
+  UNION ALL
+  SELECT doc_id, run, s, k + 1, xor(steps.c >> 8, t.c)
+  FROM steps JOIN crc_table AS t ON t.b = xor(steps.c & 255, CAST('0x' || s[2 * k + 1 : 2 * k + 2] AS BIGINT))
+  WHERE 2 * k < length(s)
+), damaged AS (
+  SELECT doc_id, run, CASE WHEN h % 199 = 0 THEN run[: h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word
+  FROM (SELECT doc_id, run, xor(c, 4294967295) AS h FROM steps WHERE 2 * k = length(s))
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM counted JOIN damaged USING (doc_id, run) WHERE length(word) >= 6
+  GROUP BY 1 HAVING sum(n) >= 5
+), cut AS (
+  SELECT word, n, i, word[: i - 1] AS head, word[i + 1 :] AS tail
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n
+  FROM cut AS a JOIN cut AS b ON a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+  UNION
+  SELECT cut.word, cut.n, words.word, words.n FROM cut JOIN words ON words.word = cut.head || cut.tail
+  UNION
+  SELECT words.word, words.n, cut.word, cut.n FROM cut JOIN words ON words.word = cut.head || cut.tail
+), best AS (
+  SELECT word, n, other, other_n, count(*) OVER (PARTITION BY word) AS n_near,
+         row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS r
+  FROM near
+), forms AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN other_n >= 5 * words.n THEN other END AS form, CASE WHEN other_n >= 5 * words.n THEN other_n END AS form_n
+  FROM words LEFT JOIN best ON best.word = words.word AND r = 1
+), chain(word, last_word, next_word) AS (
+  SELECT word, word, form FROM forms
+  UNION ALL
+  SELECT chain.word, forms.word, forms.form FROM chain JOIN forms ON forms.word = chain.next_word
+)
+SELECT forms.word, form, last_word AS root, n, n_near, form_n
+FROM forms JOIN chain ON chain.word = forms.word AND chain.next_word IS NULL
+"""
+
+
 def license_scan_sql() -> str:
     """For each template the windows of its length that hold most of its shingles."""
     notices = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in sorted(TEMPLATES.items()))
@@ -181,5 +234,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_decontaminate": DECONTAMINATE,
         "op10_license_scan": license_scan_sql(),
         "op6_exact_dedup": EXACT_DEDUP,
+        "op11_spelling_variants": SPELLING,
         "op12_merkle_manifest": MERKLE,
     }
