@@ -14,6 +14,7 @@ from weftgraph.llm.jaccard_join import jaccard_components
 from weftgraph.llm.language import held_out, identify, labelled_sample, learned
 from weftgraph.llm.language_model import language_scores
 from weftgraph.llm.license_scan import license_scan
+from weftgraph.llm.minhash import near_duplicates
 from weftgraph.llm.mixing import mixed, source_sizes, tempered_weights
 from weftgraph.llm.spelling import spelling_variants, word_counts
 from weftgraph.llm.substring_dedup import substring_dedup
@@ -108,6 +109,10 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(_table(spark, folder, "documents"), Scratch(spark))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
@@ -122,4 +127,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_license_scan": op10_license_scan,
         "op11_spelling_variants": op11_spelling_variants,
         "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_minhash_dedup": op13_minhash_dedup,
     }
