@@ -4,7 +4,6 @@ import os
 from dataclasses import replace
 
 import pytest
-from pyspark.errors import AnalysisException
 
 import modern
 from modern import CREATED, KNOWS
@@ -12,7 +11,7 @@ from weftgraph import LoadOptions, SpecError, StoredGraph, load_graph
 from weftgraph.operators.index import BadKeysError
 from weftgraph.plans.load import DanglingEdgesError, UnstableSourceError, verify_edges
 from weftgraph.scratch import scratch_root
-from weftgraph.sinks.graph_files import IncompleteGraphError, write_manifest
+from weftgraph.sinks.publication import GraphExistsError, IncompleteGraphError, claim
 from weftgraph.spec import (
     ColumnMapping,
     DataSource,
@@ -124,7 +123,7 @@ def test_source_naming(spark, sources, tmp_path):
 def test_init_refuses_and_overwrite_replaces(spark, sources, tmp_path):
     out = str(tmp_path / "out")
     load_graph(spark, modern.schema(), modern.spec(sources), out, LoadOptions(vertex_chunk_size=1))
-    with pytest.raises(AnalysisException):
+    with pytest.raises(GraphExistsError):
         load_graph(spark, modern.schema(), modern.spec(sources), out)
     assert StoredGraph(spark, out).manifest["vertex_chunk_size"] == 1
     (sources / "person.csv").write_text("id|name|age\n1|marko|29\n2|vadas|27")
@@ -142,7 +141,7 @@ def test_overwrite_leaves_nothing_of_the_old_graph(spark, sources, tmp_path):
     load_graph(spark, modern.schema(), replace(overwrite, edges=overwrite.edges[:1]), out)
     graph = StoredGraph(spark, out)
     assert len(graph.manifest["edges"]) == 1
-    assert sorted(os.listdir(out)) == ["manifest", os.path.basename(graph.root)]
+    assert sorted(os.listdir(out)) == ["manifests", os.path.basename(graph.root)]
     assert len(os.listdir(os.path.join(graph.root, "edges/person"))) == 1
 
 
@@ -241,7 +240,7 @@ def test_endpoints_of_any_name(spark, tmp_path):
 def test_unfinished_graph_is_refused(spark, sources, tmp_path):
     with pytest.raises(IncompleteGraphError):
         StoredGraph(spark, str(tmp_path / "nothing"))
-    write_manifest(spark, str(tmp_path / "half"), {"state": "loading"}, "errorifexists")
+    claim(spark, str(tmp_path / "half"), first=True)
     with pytest.raises(IncompleteGraphError):
         StoredGraph(spark, str(tmp_path / "half"))
 

@@ -2,14 +2,9 @@
 
 from __future__ import annotations
 
-import contextlib
-import os
-import posixpath
-import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field, replace
-from urllib.parse import unquote, urlsplit
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,20 +14,18 @@ from weftgraph.operators.adjacency import adjacency, keep_matched, offsets
 from weftgraph.operators.index import chunk_of, vertex_index
 from weftgraph.operators.mapping import EdgeFrame, VertexFrame, edge_frame, vertex_frame
 from weftgraph.scratch import Scratch, delete_folder
+from weftgraph.plans.own_inputs import refuse_own_inputs
+from weftgraph.sinks import publication
 from weftgraph.sinks.graph_files import (
     FILE_FORMATS,
     OFFSET_COLUMNS,
-    IncompleteGraphError,
     columns_of,
     edge_path,
     read_chunks,
-    read_manifest,
-    version_path,
     vertex_path,
     write_chunks,
-    write_manifest,
 )
-from weftgraph.spec import GraphSchema, ImportSpec, SpecError, Triplet, validate
+from weftgraph.spec import GraphSchema, ImportSpec, Triplet, validate
 
 VERTEX_CHUNK_SIZE = 1 << 18
 EDGE_CHUNK_SIZE = 1 << 22
@@ -114,8 +107,8 @@ def load_graph(
 ) -> LoadReport:
     """Load every mapped label and triplet and write the graph below ``path``.
 
-    Raises on any failure. A first load then leaves no complete manifest, so the folder
-    is not readable as a graph; a load that replaces a graph leaves the old one.
+    Raises on any failure. A first load then leaves nothing that can be read as a graph;
+    a load that replaces a graph leaves the old one, even if it ends without a word.
     """
     options = options or LoadOptions()
     options.check()
@@ -123,15 +116,9 @@ def load_graph(
     _need_skew_join(spark)
     frames = (spark, schema, spec, options.column_naming, options.on_error)
     vertices, edges = load_vertices(*frames), load_edges(*frames)
-    _refuse_own_inputs([f.frame for f in (*vertices.values(), *edges.values())], path)
-    replaced = None
-    if spec.save_mode == "overwrite":
-        with contextlib.suppress(IncompleteGraphError):
-            replaced = version_path(path, read_manifest(spark, path))
-    else:
-        write_manifest(spark, path, {"state": "loading"}, spec.save_mode)
-    version = f"version-{uuid.uuid4().hex}"
-    files = version_path(path, {"version": version})
+    refuse_own_inputs(spark, spec, path)
+    claimed = publication.claim(spark, path, first=spec.save_mode != "overwrite")
+    files = publication.version_path(path, claimed.load)
     scratch = Scratch(spark)
     try:
         if spec.source.options.get("mode") == "DROPMALFORMED":
@@ -151,25 +138,24 @@ def load_graph(
             return _store_edges(edge, indexes, sizes, out_only, files, options, scratch)
 
         edge_reports = _together(spark, store_triplet, edges.values(), options)
+        report = LoadReport(path, list(stored.values()), edge_reports)
+        manifest = {
+            "name": schema.name,
+            "format": options.file_format,
+            "vertex_chunk_size": options.vertex_chunk_size,
+            "edge_chunk_size": options.edge_chunk_size,
+            "vertices": [asdict(v) for v in report.vertices],
+            "edges": [asdict(e) for e in report.edges],
+        }
+        publication.publish(spark, path, claimed, manifest)
     except BaseException:
+        # The claim first, so that no manifest ever names files that are gone.
+        publication.withdraw(spark, path, claimed)
         delete_folder(spark, files)
         raise
     finally:
         scratch.discard()
-    report = LoadReport(path, list(stored.values()), edge_reports)
-    manifest = {
-        "state": "complete",
-        "version": version,
-        "name": schema.name,
-        "format": options.file_format,
-        "vertex_chunk_size": options.vertex_chunk_size,
-        "edge_chunk_size": options.edge_chunk_size,
-        "vertices": [asdict(v) for v in report.vertices],
-        "edges": [asdict(e) for e in report.edges],
-    }
-    write_manifest(spark, path, manifest, "overwrite")
-    if replaced:
-        delete_folder(spark, replaced)
+    publication.drop_replaced(spark, path)
     return report
 
 
@@ -260,25 +246,6 @@ def _need_skew_join(spark: SparkSession) -> None:
             raise ValueError(f"a load needs {setting}")
 
 
-def _refuse_own_inputs(frames: Iterable[DataFrame], path: str) -> None:
-    """A graph cannot replace the files it is made from, whatever they are called and whichever table they are in."""
-    scheme, target = _place(path)
-    for frame in frames:
-        for name in frame.inputFiles():
-            own, read = _place(name)
-            inside = read.startswith(target) or target.startswith(read)
-            if inside and (own == scheme or not own or not scheme):
-                raise SpecError(f"input {name!r} lies in the folder the graph is written to")
-
-
-def _place(path: str) -> tuple[str, str]:
-    """Scheme and host, and the path without dots, closed by a slash; a path without a scheme may be of any."""
-    parts = urlsplit(path)
-    if not parts.scheme:
-        return "", os.path.abspath(unquote(path)).rstrip("/") + "/"
-    return f"{parts.scheme}://{parts.netloc}", posixpath.normpath(unquote(parts.path)).rstrip("/") + "/"
-
-
 def _together(spark: SparkSession, work: Callable, tables: Iterable, options: LoadOptions) -> list:
     """Run the jobs of several tables side by side, so that small ones do not leave the cluster idle."""
     with ThreadPoolExecutor(options.tables_at_once) as pool:

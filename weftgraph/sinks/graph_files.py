@@ -1,26 +1,22 @@
-"""The graph as files: one table per label and arrangement, chunk by chunk, and a manifest.
+"""The graph as files: one table per label and arrangement, chunk by chunk.
 
     <version>/vertices/<label>/vertex_chunk=<n>/
     <version>/edges/<source>/<edge>/<destination>/by_source/vertex_chunk=<n>/edge_chunk=<m>/
     <version>/edges/<source>/<edge>/<destination>/by_source_offsets/vertex_chunk=<n>/
     (the same with by_destination)
-    manifest/
 
-Each load writes a version folder of its own, which the manifest names. The manifest is
-written last, and readers refuse a folder without a complete one. So a load that
-replaces a graph leaves the old one in place until the new one is whole, and nothing of
-it afterwards.
+Each load writes a version folder of its own, which readers find by its manifest
+(``publication``).
 """
 
 from __future__ import annotations
 
-import json
 from urllib.parse import quote
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from weftgraph.functions.types import quoted
+from weftgraph.sinks.publication import current, version_path
 from weftgraph.spec import Triplet
 
 FILE_FORMATS = ("orc", "parquet")
@@ -29,10 +25,6 @@ DIRECTIONS = ("source", "destination")
 OFFSET_COLUMNS = [["vertex_chunk", "bigint"], ["vid", "bigint"], ["offset", "bigint"]]
 
 
-class IncompleteGraphError(RuntimeError):
-    """The folder holds no completely written graph."""
-
-
 def vertex_path(root: str, label: str) -> str:
     return f"{root.rstrip('/')}/vertices/{quote(label, safe='')}"
 
@@ -69,38 +61,14 @@ def columns_of(frame: DataFrame) -> list[list[str]]:
     return [[f.name, f.dataType.simpleString()] for f in frame.schema]
 
 
-def write_manifest(spark: SparkSession, root: str, manifest: dict, mode: str) -> None:
-    row = spark.range(1, numPartitions=1).select(F.lit(json.dumps(manifest)).alias("value"))
-    row.write.mode(mode).text(_manifest_path(root))
-
-
-def read_manifest(spark: SparkSession, root: str) -> dict:
-    try:
-        found = spark.read.text(_manifest_path(root)).collect()
-    except AnalysisException as missing:
-        raise IncompleteGraphError(f"{root} holds no graph") from missing
-    manifest = json.loads(found[0]["value"]) if found else {}
-    if manifest.get("state") != "complete":
-        raise IncompleteGraphError(f"the graph in {root} was not written to the end")
-    return manifest
-
-
-def _manifest_path(root: str) -> str:
-    return f"{root.rstrip('/')}/manifest"
-
-
-def version_path(root: str, manifest: dict) -> str:
-    """The folder of the version that a manifest names."""
-    return f"{root.rstrip('/')}/{manifest['version']}"
-
-
 class StoredGraph:
     """A written graph, read back as frames."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
-        self.manifest = read_manifest(spark, root)
-        self.root = version_path(root, self.manifest)
+        published = current(spark, root)
+        self.manifest = published.manifest
+        self.root = version_path(root, published.load)
 
     def vertices(self, label: str) -> DataFrame:
         entry = self._find("vertices", lambda e: e["label"] == label, label)
