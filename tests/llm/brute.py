@@ -27,9 +27,9 @@ def shingles(text: str | None, size: int = 5) -> set[bytes]:
     return {b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
 
 
-def linked_components(docs: list[tuple[int, str | None]], percent: int = 75) -> dict[int, tuple[int, int]]:
+def linked_components(docs: list[tuple[int, str | None]], percent: int = 75, size: int = 5) -> dict[int, tuple[int, int]]:
     """Size of the shingle set and least reachable id of each document."""
-    sets = {d: shingles(t) for d, t in docs}
+    sets = {d: shingles(t, size) for d, t in docs}
     lists = defaultdict(list)
     for d in sorted(sets):
         for s in sets[d]:
@@ -47,3 +47,67 @@ def linked_components(docs: list[tuple[int, str | None]], percent: int = 75) ->
             low, high = sorted((root(a), root(b)))
             parent[high] = low
     return {d: (len(sets[d]), root(d)) for d in sets}
+
+
+def digest(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def merkle_rows(rows: list[dict], columns: list[str], changed) -> list[tuple]:
+    """(id, leaf, subroot, root, digest of the siblings, folded root) of each row; ``changed`` alters a row before folding."""
+
+    def leaf(row: dict) -> str:
+        return digest("".join("-" if row[c] is None else f"{len(str(row[c]).encode())}:{row[c]}" for c in columns))
+
+    def tree(level: list[str]) -> tuple[str, list[list[tuple[bool, str]]]]:
+        steps, at = [[] for _ in level], list(range(len(level)))
+        while len(level) > 1:
+            for leaf_no, i in enumerate(at):
+                steps[leaf_no].append((i % 2 == 1, level[i ^ 1]) if i ^ 1 < len(level) else (False, ""))
+            at = [i // 2 for i in at]
+            level = [digest("".join(level[i : i + 2])) for i in range(0, len(level), 2)]
+        return level[0], steps
+
+    groups = defaultdict(list)
+    for row in rows:
+        groups[row["lang"]].append(row)
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    if not names:
+        return []
+    for name in names:
+        groups[name].sort(key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, leaf(r)))
+    trees = {name: tree([leaf(r) for r in groups[name]]) for name in names}
+    root, above = tree([trees[name][0] for name in names])
+    found = []
+    for name, rest in zip(names, above):
+        for row, steps in zip(groups[name], trees[name][1]):
+            node = leaf(changed(row))
+            for left, other in steps + rest:
+                node = digest(other + node if left else node + other)
+            siblings = digest("".join(other for _, other in steps + rest))
+            found.append((row["doc_id"], leaf(row), trees[name][0], root, siblings, node))
+    return found
+
+
+def one_edit(a: str, b: str) -> bool:
+    """Whether the words differ by exactly one insertion, deletion or replacement."""
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    if len(a) > len(b):
+        a, b = b, a
+    cuts = range(len(b))
+    return any(a[:i] + a[i + 1 :] == b[:i] + b[i + 1 :] for i in cuts) if len(a) == len(b) else any(a == b[:i] + b[i + 1 :] for i in cuts)
+
+
+def variants(words: dict[str, int], ratio: int = 5) -> dict[str, tuple]:
+    """(form, root, n, near words, n of the form) of each word."""
+    near = {w: [o for o in words if one_edit(w, o)] for w in words}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda o: (-words[o], o), default=None)
+        form[w] = best if best is not None and words[best] >= ratio * words[w] else None
+
+    def root(w: str) -> str:
+        return root(form[w]) if form[w] is not None else w
+
+    return {w: (form[w], root(w), n, len(near[w]), words[form[w]] if form[w] is not None else None) for w, n in words.items()}
