@@ -1,13 +1,19 @@
-"""Edges arranged by one of their ends, in chunks, with offsets."""
+"""Edges arranged by one of their ends, in chunks, with offsets.
+
+Rows are dealt out by ranges of the order, sorted once and written once, with the range
+and the place in it. Where each range's part of a vertex chunk begins is a small table
+beside the rows: a row's position is looked up when it is read.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, Window, functions as F
 
-from weftgraph.functions.types import quoted
-from weftgraph.operators.endpoints import edge_properties, matched_edges
+from weftgraph.functions.types import fresh, quoted
 from weftgraph.operators.index import chunk_of
-from weftgraph.operators.ranking import numbered
+from weftgraph.operators.ranking import PLACE_IN_PARTITION, ROWS_PER_RANGE
 from weftgraph.scratch import Scratch
 
 # The end an arrangement is sorted by, then the other end.
@@ -23,19 +29,80 @@ def keep_edges(resolved: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.keep(resolved.withColumn("edge_row", F.monotonically_increasing_id()), "edges")
 
 
-def keep_matched(
-    edges: DataFrame, src: str, dst: str, source_index: DataFrame, destination_index: DataFrame, scratch: Scratch
-) -> tuple[DataFrame, int, int]:
-    """Kept edges as ``keep_edges`` has them, their number, and that of the edges without a vertex.
+def place_columns(properties: Collection[str]) -> tuple[str, str]:
+    """Names for the columns that say where a row was written, apart from all properties."""
+    return fresh("range", properties), fresh("place", properties)
+
+
+def arranged(
+    edges: DataFrame, by: str, vertex_chunk_size: int, total: int, rows_per_range: int | None = None
+) -> DataFrame:
+    """Kept edges ready to be written: vertex_chunk, range, place in it, src_vid, dst_vid and the properties.
+
+    In each partition rows stand by vertex chunk and range, then by (near end, far end,
+    properties); parallel edges that agree in everything are interchangeable. Written
+    by the first two columns they need no further sort.
+    """
+    near, far = ENDS[by]
+    properties = [c for c in edges.columns if c not in (near, far, "edge_row")]
+    in_range, place = place_columns(properties)
+    ranges = max(1, -(-total // (rows_per_range or ROWS_PER_RANGE)))
+    order = [quoted(c) for c in (near, far, *properties, "edge_row")]
+    dealt = edges.withColumn("vertex_chunk", chunk_of(near, vertex_chunk_size)).repartitionByRange(ranges, *order)
+    marked = dealt.withColumn(in_range, F.spark_partition_id())
+    in_order = marked.sortWithinPartitions("vertex_chunk", quoted(in_range), *order)
+    at = F.monotonically_increasing_id().bitwiseAND(F.lit(PLACE_IN_PARTITION))
+    return in_order.select(
+        "vertex_chunk", quoted(in_range), at.alias(place), "src_vid", "dst_vid", *[quoted(c) for c in properties]
+    )
+
+
+def range_starts(written: DataFrame) -> DataFrame:
+    """Where the rows of each range begin in their vertex chunk, from what was written.
+
+    vertex_chunk, range, rows, first_place, first_pos, and ``whole``: whether each place
+    from the first to the last is there once. One row per range, and one more per vertex chunk.
+    """
+    in_range, place = (F.col(f"`{c}`") for c in written.columns[1:3])
+    counts = written.groupBy("vertex_chunk", in_range.alias("range")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min(place).alias("first_place"),
+        F.max(place).alias("last_place"),
+        F.sum(place.cast("decimal(38)")).alias("added"),
+    )
+    earlier = Window.partitionBy("vertex_chunk").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    span = F.col("last_place") - F.col("first_place") + 1
+    # Places without a gap, with the sum that they then have.
+    whole = (F.col("rows") == span) & (F.col("added") * 2 == span * (F.col("first_place") + F.col("last_place")))
+    return counts.select(
+        "vertex_chunk",
+        "range",
+        "rows",
+        "first_place",
+        F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("first_pos"),
+        whole.alias("whole"),
+    )
 
-    All edges are written in one pass over their source, which both numbers are counted from.
+
+def with_positions(written: DataFrame, starts: DataFrame, edge_chunk_size: int) -> DataFrame:
+    """What ``arranged`` wrote, with the position of each edge in its vertex chunk in place of range and place.
+
+    ``edge_chunk`` cuts a vertex chunk's edges into pieces of equal size.
     """
-    matched = matched_edges(edges, src, dst, source_index, destination_index)
-    properties = [F.col("row").getField(c).alias(c) for c in edge_properties(edges, src, dst)]
-    written = keep_edges(matched.select("src_vid", "dst_vid", *properties), scratch)
-    whole = F.col("src_vid").isNotNull() & F.col("dst_vid").isNotNull()
-    total, kept = written.agg(F.count(F.lit(1)), F.count_if(whole)).first()
-    return written.where(whole), kept, total - kept
+    in_range, place = written.columns[1:3]
+    begin = starts.select(
+        F.col("vertex_chunk").alias("of_chunk"), F.col("range").alias("of_range"), (F.col("first_pos") - F.col("first_place")).alias("shift")
+    )
+    rows = written.select(F.struct(*[quoted(c) for c in written.columns]).alias("row"))
+    of_row = F.col("row").getField
+    found = rows.join(begin, (of_row("vertex_chunk") == F.col("of_chunk")) & (of_row(in_range) == F.col("of_range")))
+    pos = of_row(place) + F.col("shift")
+    return found.select(
+        of_row("vertex_chunk").alias("vertex_chunk"),
+        F.call_function("div", pos, F.lit(int(edge_chunk_size)).cast("bigint")).alias("edge_chunk"),
+        pos.alias("pos"),
+        *[of_row(c).alias(c) for c in written.columns[3:]],
+    )
 
 
 def adjacency(
@@ -47,32 +114,14 @@ def adjacency(
     total: int | None = None,
     rows_per_range: int | None = None,
 ) -> DataFrame:
-    """Kept edges with their place among the edges of the same vertex chunk.
+    """Kept edges with their place among the edges of the same vertex chunk: vertex_chunk, edge_chunk, pos, ends, properties.
 
-    ``pos`` counts by (near end, far end, properties); parallel edges that agree
-    in everything are interchangeable. ``edge_chunk`` cuts a vertex chunk's edges
-    into pieces of equal size.
+    ``pos`` counts by (near end, far end, properties).
     """
-    near, far = ENDS[by]
-    properties = [c for c in edges.columns if c not in (near, far, "edge_row")]
-    chunked = edges.withColumn("vertex_chunk", chunk_of(near, vertex_chunk_size))
-    placed = numbered(
-        chunked,
-        [near, far, *properties, "edge_row"],
-        "pos",
-        scratch,
-        within="vertex_chunk",
-        total=total,
-        rows_per_range=rows_per_range,
-    )
-    return placed.select(
-        "vertex_chunk",
-        F.expr(f"pos div {int(edge_chunk_size)}L").alias("edge_chunk"),
-        "pos",
-        "src_vid",
-        "dst_vid",
-        *[quoted(c) for c in properties],
-    )
+    if total is None:
+        total = edges.count()
+    written = scratch.keep(arranged(edges, by, vertex_chunk_size, total, rows_per_range), "arranged")
+    return with_positions(written, scratch.keep(range_starts(written), "starts"), edge_chunk_size)
 
 
 def offsets(edges: DataFrame, by: str, vertices: int, vertex_chunk_size: int) -> DataFrame:

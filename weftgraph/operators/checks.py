@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weftgraph.functions.types import DECLARED_RANGE, cast_to, fresh, quoted
+from weftgraph.spec import FieldPlan
 
 
 def null_keys(frame: DataFrame, key: str) -> DataFrame:
@@ -60,3 +61,17 @@ def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
         for name, frame in frames.items()
     ]
     return reduce(DataFrame.unionByName, counted)
+
+
+def row_checks(fields: Sequence[FieldPlan], keys: Sequence[str], malformed: bool = False) -> dict[str, Column]:
+    """Conditions on the rows of ``side_by_side``, by name of the check."""
+    raw = {f.name: F.col("raw").getField(f.name) for f in fields}
+    typed = {f.name: F.col("typed").getField(f.name) for f in fields}
+    lost = reduce(lambda a, b: a | b, [raw[f.name].isNotNull() & typed[f.name].isNull() for f in fields], F.lit(False))
+    is_malformed = F.col("line").isNotNull() if malformed else F.lit(False)
+    shape = {"malformed_rows": is_malformed} if malformed else {}
+    return shape | {
+        "null_keys": reduce(lambda a, b: a | b, [typed[k].isNull() for k in keys], F.lit(False)),
+        "out_of_range": is_out_of_range(typed, {f.name: f.type for f in fields}),
+        "lost_cells": lost & ~is_malformed,
+    }

@@ -6,7 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftgraph.sources import read_inputs
+from weftgraph.operators.rejects import judged
+from weftgraph.sources import read_inputs, side_by_side
 from weftgraph.spec import (
     GraphSchema,
     ImportSpec,
@@ -23,6 +24,8 @@ class VertexFrame:
     label: str
     frame: DataFrame
     key: str
+    # Where bad rows are kept apart: the column that says why a row is to be left out.
+    rejected: str | None = None
 
 
 @dataclass(frozen=True)
@@ -33,6 +36,7 @@ class EdgeFrame:
     frame: DataFrame
     src: str
     dst: str
+    rejected: str | None = None
 
 
 def vertex_frame(
@@ -43,10 +47,16 @@ def vertex_frame(
     naming: str = "property",
     on_error: str | None = None,
 ) -> VertexFrame:
-    """All inputs of a label; columns carry property names, or source names with ``naming="source"``."""
+    """All inputs of a label; columns carry property names, or source names with ``naming="source"``.
+
+    ``on_error="reject"`` keeps every row and adds a column that says which are bad and why.
+    """
     fields = vertex_fields(schema, spec, label, naming)
-    frame = read_inputs(spark, spec.source, spec.vertex(label).inputs, fields, on_error)
-    return VertexFrame(label, frame, key_column(schema, spec, label, naming))
+    key, inputs = key_column(schema, spec, label, naming), spec.vertex(label).inputs
+    if on_error == "reject":
+        frame, rejected = judged(side_by_side(spark, spec.source, inputs, fields, malformed=True), fields, [key])
+        return VertexFrame(label, frame, key, rejected)
+    return VertexFrame(label, read_inputs(spark, spec.source, inputs, fields, on_error), key)
 
 
 def edge_frame(
@@ -59,6 +69,9 @@ def edge_frame(
 ) -> EdgeFrame:
     """All inputs of a triplet: source key, destination key, then the properties."""
     src, dst = endpoint_fields(schema, spec, triplet, naming)
-    fields = [src, dst, *edge_property_fields(schema, spec, triplet, naming)]
-    frame = read_inputs(spark, spec.source, spec.edge(triplet).inputs, fields, on_error)
-    return EdgeFrame(triplet, frame, src.name, dst.name)
+    fields, inputs = [src, dst, *edge_property_fields(schema, spec, triplet, naming)], spec.edge(triplet).inputs
+    if on_error == "reject":
+        # Null ends are found with the ends that no vertex has.
+        frame, rejected = judged(side_by_side(spark, spec.source, inputs, fields, malformed=True), fields, [])
+        return EdgeFrame(triplet, frame, src.name, dst.name, rejected)
+    return EdgeFrame(triplet, read_inputs(spark, spec.source, inputs, fields, on_error), src.name, dst.name)

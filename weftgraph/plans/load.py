@@ -10,25 +10,33 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weftgraph.functions.types import quoted
-from weftgraph.operators.adjacency import adjacency, keep_matched, offsets
+from weftgraph.operators.adjacency import arranged, offsets, range_starts
+from weftgraph.operators.endpoints import heavy_keys, matched_edges
 from weftgraph.operators.index import chunk_of, vertex_index
 from weftgraph.operators.mapping import EdgeFrame, VertexFrame, edge_frame, vertex_frame
+from weftgraph.operators.rejects import END_REASONS, Sorted, split_edges, split_vertices
 from weftgraph.scratch import Scratch, delete_folder
 from weftgraph.plans.own_inputs import refuse_own_inputs
 from weftgraph.sinks import publication
 from weftgraph.sinks.graph_files import (
     FILE_FORMATS,
     OFFSET_COLUMNS,
+    START_COLUMNS,
     columns_of,
     edge_path,
     read_chunks,
+    reject_path,
+    starts_path,
     vertex_path,
     write_chunks,
+    write_table,
 )
 from weftgraph.spec import GraphSchema, ImportSpec, Triplet, validate
 
 VERTEX_CHUNK_SIZE = 1 << 18
 EDGE_CHUNK_SIZE = 1 << 22
+# Labels of fewer vertices are joined without looking for hubs: their index is small wherever it has to go.
+FEW_VERTICES = 1 << 17
 
 
 class DanglingEdgesError(ValueError):
@@ -53,7 +61,7 @@ class LoadOptions:
     def check(self) -> None:
         for name, allowed in (
             ("file_format", FILE_FORMATS),
-            ("on_error", (None, "raise", "null")),
+            ("on_error", (None, "raise", "null", "reject")),
             ("dangling", ("drop", "error")),
         ):
             if getattr(self, name) not in allowed:
@@ -68,6 +76,7 @@ class VertexReport:
     key: str
     rows: int
     columns: list
+    rejects: dict = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -79,6 +88,7 @@ class EdgeReport:
     dangling: int
     directions: list
     columns: list
+    rejects: dict = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -113,7 +123,6 @@ def load_graph(
     options = options or LoadOptions()
     options.check()
     validate(schema, spec, options.column_naming)
-    _need_skew_join(spark)
     frames = (spark, schema, spec, options.column_naming, options.on_error)
     vertices, edges = load_vertices(*frames), load_edges(*frames)
     refuse_own_inputs(spark, spec, path)
@@ -160,19 +169,27 @@ def load_graph(
 
 
 def _store_vertices(vertex: VertexFrame, path: str, options: LoadOptions, scratch: Scratch) -> VertexReport:
-    indexed, total = vertex_index(vertex.frame, vertex.key, scratch, options.rows_per_range)
-    chunked = indexed.select(
-        chunk_of("vid", options.vertex_chunk_size), "vid", *[quoted(c) for c in vertex.frame.columns]
-    )
+    frame, rejects = vertex.frame, {}
+    if vertex.rejected:
+        sorted_rows = split_vertices(frame, vertex.rejected, vertex.key, scratch)
+        frame, rejects = sorted_rows.kept, sorted_rows.counts
+        _store_rejects(sorted_rows, reject_path(path, vertex.label), options)
+    indexed, total = vertex_index(frame, vertex.key, scratch, options.rows_per_range)
+    chunked = indexed.select(chunk_of("vid", options.vertex_chunk_size), "vid", *[quoted(c) for c in frame.columns])
     target = vertex_path(path, vertex.label)
     write_chunks(chunked.sortWithinPartitions("vertex_chunk", "vid"), target, options.file_format, "errorifexists")
     columns = columns_of(chunked)
-    written = read_chunks(vertex.frame.sparkSession, target, options.file_format, columns)
+    written = read_chunks(frame.sparkSession, target, options.file_format, columns)
     # As many rows as keys, all below their number, with the sum of 0, 1, 2, ...
     count, top, added = written.agg(F.count(F.lit(1)), F.max("vid"), F.sum(F.col("vid").cast("decimal(38)"))).first()
     if count != total or (total and (top != total - 1 or added != total * (total - 1) // 2)):
         raise UnstableSourceError(f"label {vertex.label!r}: {total} keys but {count} rows up to number {top}")
-    return VertexReport(vertex.label, vertex.key, total, columns)
+    return VertexReport(vertex.label, vertex.key, total, columns, rejects)
+
+
+def _store_rejects(rows: Sorted, target: str, options: LoadOptions) -> None:
+    if rows.counts:
+        write_table(rows.rejects, target, options.file_format)
 
 
 def _index(spark: SparkSession, path: str, report: VertexReport, options: LoadOptions) -> DataFrame:
@@ -190,22 +207,24 @@ def _store_edges(
     options: LoadOptions,
     scratch: Scratch,
 ) -> EdgeReport:
-    triplet = edge.triplet
-    kept, total, dangling = keep_matched(
-        edge.frame, edge.src, edge.dst, indexes[triplet.source], indexes[triplet.destination], scratch
-    )
+    triplet, spark = edge.triplet, edge.frame.sparkSession
+    labels = {edge.src: triplet.source, edge.dst: triplet.destination}
+    heavy = heavy_keys(edge.frame, [end for end, label in labels.items() if sizes[label] >= FEW_VERTICES])
+    matched = matched_edges(edge.frame, edge.src, edge.dst, indexes[triplet.source], indexes[triplet.destination], heavy)
+    rows = split_edges(matched, (edge.src, edge.dst), edge.rejected, scratch)
+    kept, total = rows.kept, rows.rows
+    dangling = sum(rows.counts.get(reason, 0) for reason in END_REASONS)
     if dangling and options.dangling == "error":
         raise DanglingEdgesError(f"{triplet}: {dangling} edges have an end without a vertex")
     directions = ["source"] if out_only else ["source", "destination"]
 
     def store_adjacency(direction: str) -> list:
-        arranged = adjacency(
-            kept, direction, scratch, options.vertex_chunk_size, options.edge_chunk_size, total, options.rows_per_range
-        )
-        in_order = arranged.sortWithinPartitions("vertex_chunk", "edge_chunk", "pos")
-        target, by = edge_path(path, triplet, direction), ("vertex_chunk", "edge_chunk")
-        write_chunks(in_order, target, options.file_format, "errorifexists", by)
-        return columns_of(arranged)
+        in_order = arranged(kept, direction, options.vertex_chunk_size, total, options.rows_per_range)
+        target, columns = edge_path(path, triplet, direction), columns_of(in_order)
+        write_chunks(in_order, target, options.file_format, "errorifexists", ("vertex_chunk", columns[1][0]))
+        starts = range_starts(read_chunks(spark, target, options.file_format, columns))
+        write_table(starts, starts_path(path, triplet, direction), options.file_format)
+        return columns
 
     def store_offsets(direction: str) -> list:
         label = triplet.source if direction == "source" else triplet.destination
@@ -214,38 +233,43 @@ def _store_edges(
         return columns_of(starts)
 
     parts = [(store, direction) for store in (store_adjacency, store_offsets) for direction in directions]
-    columns = _together(kept.sparkSession, lambda part: part[0](part[1]), parts, options)[0]
+    parts.append((lambda target: _store_rejects(rows, target, options), reject_path(path, triplet)))
+    columns = _together(spark, lambda part: part[0](part[1]), parts, options)[0]
     for direction in directions:
-        verify_edges(kept.sparkSession, path, triplet, direction, options.file_format, columns, total)
-    return EdgeReport(triplet.source, triplet.edge, triplet.destination, total, dangling, directions, columns)
+        verify_edges(spark, path, triplet, direction, options.file_format, total)
+    return EdgeReport(triplet.source, triplet.edge, triplet.destination, total, dangling, directions, columns, rows.counts)
 
 
 def verify_edges(
-    spark: SparkSession, path: str, triplet: Triplet, direction: str, file_format: str, columns: list, total: int
+    spark: SparkSession,
+    path: str,
+    triplet: Triplet,
+    direction: str,
+    file_format: str,
+    total: int,
+    columns: list | None = None,
 ) -> None:
-    """Raise unless the written edges and offsets both account for ``total`` edges, each place in a chunk once."""
-    edges = read_chunks(spark, edge_path(path, triplet, direction), file_format, columns)
-    by_chunk = edges.groupBy("vertex_chunk").agg(
-        F.count(F.lit(1)).alias("n"), F.max("pos").alias("top"), F.sum(F.col("pos").cast("decimal(38)")).alias("added")
-    )
+    """Raise unless the written edges and offsets both account for ``total`` edges, each place in a chunk once.
+
+    What the edges' files hold is taken from the table of range starts, which was counted
+    from them; given their ``columns``, the files are counted again and compared with it.
+    """
+    starts = read_chunks(spark, starts_path(path, triplet, direction), file_format, START_COLUMNS)
+    if columns:
+        again = range_starts(read_chunks(spark, edge_path(path, triplet, direction), file_format, columns))
+        if not (starts.exceptAll(again).isEmpty() and again.exceptAll(starts).isEmpty()):
+            raise UnstableSourceError(f"{triplet} by {direction}: the files do not hold the ranges that were written")
+    by_chunk = starts.groupBy("vertex_chunk").agg(F.sum("rows").alias("n"), F.bool_and("whole").alias("whole"))
     offset_path = edge_path(path, triplet, direction, "_offsets")
     closing = read_chunks(spark, offset_path, file_format, OFFSET_COLUMNS).groupBy("vertex_chunk")
     both = by_chunk.join(closing.agg(F.max("offset").alias("end")), "vertex_chunk", "full")
     n = F.coalesce("n", F.lit(0))
-    # Places below n with the sum of 0, 1, 2, ...
-    whole = (n == F.coalesce("end", F.lit(-1))) & ((n == 0) | ((F.col("top") == n - 1) & (F.col("added") * 2 == n * F.col("top"))))
+    whole = (n == F.coalesce("end", F.lit(-1))) & F.coalesce("whole", F.lit(True))
     rows, damaged = both.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(~whole)).first()
     if rows != total or damaged:
         raise UnstableSourceError(f"{triplet} by {direction}: {rows} edges written of {total}, {damaged} chunks damaged")
 
 
-def _need_skew_join(spark: SparkSession) -> None:
-    """The joins to a hub's number are only spread by Spark's adaptive skew join."""
-    for setting in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"):
-        if spark.conf.get(setting).lower() != "true":
-            raise ValueError(f"a load needs {setting}")
-
-
 def _together(spark: SparkSession, work: Callable, tables: Iterable, options: LoadOptions) -> list:
     """Run the jobs of several tables side by side, so that small ones do not leave the cluster idle."""
     with ThreadPoolExecutor(options.tables_at_once) as pool:

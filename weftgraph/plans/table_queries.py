@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weftgraph.operators import checks
 from weftgraph.operators.adjacency import adjacency, keep_edges, offsets
-from weftgraph.operators.endpoints import dangling_edges, resolved_edges
+from weftgraph.operators.endpoints import dangling_edges, heavy_keys, resolved_edges
 from weftgraph.operators.index import chunk_of, key_index, vertex_index
 from weftgraph.operators.mapping import edge_frame, vertex_frame
-from weftgraph.plans.check import check_sources
+from weftgraph.plans.check import check_sources, malformed_rows
 from weftgraph.plans.load import LoadOptions, load_edges, load_graph, load_vertices
 from weftgraph.plans.table_graph import EDGES, INT64, VERTICES, register_tables, table_schema, table_spec
 from weftgraph.scratch import Scratch
@@ -274,6 +274,35 @@ def csv_shared_column(spark, sf_dir):
     return vertex_frame(spark, schema, spec, "Cell").frame
 
 
+@_query(
+    "SELECT 'Cell' AS name, 'malformed_rows' AS \"check\", count(*) FILTER (l_linenumber IN (2, 3, 4)) AS rows FROM lineitem "
+    "UNION ALL SELECT 'Cell', 'null_keys', count(*) FILTER (l_orderkey IS NULL) FROM lineitem "
+    "UNION ALL SELECT 'Cell', 'out_of_range', 0 "
+    "UNION ALL SELECT 'Cell', 'lost_cells', count(*) FILTER (l_linenumber = 6) FROM lineitem "
+    "UNION ALL SELECT 'Cell', 'duplicate_keys', count(*) FROM "
+    "(SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) "
+    "UNION ALL SELECT 'line', 'short_or_long', count(*) FROM lineitem WHERE l_linenumber IN (2, 3) "
+    "UNION ALL SELECT 'line', 'unclosed_quote', count(*) FROM lineitem WHERE l_linenumber = 4"
+)
+def csv_malformed_rows(spark, sf_dir):
+    location = Scratch(spark).path
+    key, part, flag = "l_orderkey * 10 + l_linenumber", "l_partkey", "l_returnflag"
+    lines = (
+        f"CASE l_linenumber WHEN 2 THEN concat_ws('|', {key}, {part}) WHEN 3 THEN concat_ws('|', {key}, {part}, {flag}, 'more') "
+        f"WHEN 4 THEN concat({key}, '|\"', {part}, '|', {flag}) WHEN 5 THEN concat({key}, '|', {part}, '|\"', {flag}) "
+        f"WHEN 6 THEN concat_ws('|', {key}, 'n/a', {flag}) ELSE concat_ws('|', {key}, {part}, {flag}) END"
+    )
+    # Whole lines as the only column of a file, whose name is then the header.
+    whole = {"header": True, "sep": "\u0001", "quote": "", "escapeQuotes": False}
+    spark.table("lineitem").select(F.expr(lines).alias("id|part|flag")).write.options(**whole).csv(f"{location}/lines")
+    types = {"id": INT64, "part": INT64, "flag": "DT_STRING"}
+    schema = GraphSchema("cells", (VertexType("Cell", tuple(Property(p, t) for p, t in types.items()), ("id",)),))
+    mapping = VertexMapping("Cell", ("lines",), tuple(ColumnMapping(p, p, i) for i, p in enumerate(types)))
+    spec = ImportSpec("cells", DataSource("file", location, "csv"), (mapping,))
+    faults = malformed_rows(spark, schema, spec, "Cell").groupBy(F.lit("line").alias("name"), F.col("fault").alias("check"))
+    return check_sources(spark, schema, spec, malformed=True).unionByName(faults.agg(F.count(F.lit(1)).alias("rows")))
+
+
 @_query("SELECT count(*) AS lines FROM lineitem")
 def text_line_count(spark, sf_dir):
     source = _line_file(spark, ["l_orderkey", "l_partkey"], "csv", header=False)
@@ -493,6 +522,26 @@ def edge_resolved_one_label(spark, sf_dir):
     return _resolved(spark, BESIDE)
 
 
+# A third of a segment's orders come from its first customer.
+_HUB_ORDERS = (
+    "SELECT if(o_orderkey % 3 = 0, hub, o_custkey) AS {src}, o_orderkey AS {dst}, o_totalprice AS price FROM orders "
+    "JOIN customer ON o_custkey = c_custkey "
+    "JOIN (SELECT c_mktsegment AS segment, min(c_custkey) AS hub FROM customer GROUP BY c_mktsegment) h "
+    "ON c_mktsegment = segment"
+)
+
+
+@_query(
+    "SELECT CAST(s.vid AS BIGINT) AS src_vid, CAST(d.vid AS BIGINT) AS dst_vid, price FROM "
+    f"({_HUB_ORDERS.format(src='src', dst='dst')}) e "
+    f"JOIN {_ranked_sql('customer', 'c_custkey')} s ON e.src = s.id JOIN {_ranked_sql('orders', 'o_orderkey')} d ON e.dst = d.id"
+)
+def edge_resolved_hubs(spark, sf_dir):
+    edges = spark.sql(_HUB_ORDERS.format(src="src", dst="dst"))
+    heavy = heavy_keys(edges, ["src", "dst"])
+    return resolved_edges(edges, "src", "dst", _key_index(spark, "Customer"), _key_index(spark, "Order"), heavy)
+
+
 @_query(
     "SELECT o_custkey AS src, o_orderkey AS dst, o_totalprice AS price, epoch_ms(o_orderdate) AS placed FROM orders "
     "WHERE o_custkey IS NULL OR o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"
@@ -615,7 +664,7 @@ def graph_roundtrip_vertices(spark, sf_dir):
 
 @_query(f"SELECT * FROM ({_adjacency_sql('source')}) WHERE vertex_chunk = 0 AND edge_chunk = 1")
 def graph_roundtrip_edge_chunk(spark, sf_dir):
-    return _loaded(spark, [CONTAINS]).edges(CONTAINS).where("vertex_chunk = 0 AND edge_chunk = 1")
+    return _loaded(spark, [CONTAINS], rows_per_range=SMALL_RANGE).edges(CONTAINS, "source", vertex_chunk=0, edge_chunk=1)
 
 
 @_query(
@@ -640,6 +689,41 @@ def graph_roundtrip_helper_names(spark, sf_dir):
     return StoredGraph(spark, path).vertices("Customer")
 
 
+# Each fault of a row by its number in its order; the second and third lines of an order share a key.
+_FAULTY_LINES = (
+    "SELECT CAST(CASE l_linenumber WHEN 1 THEN NULL WHEN 3 THEN l_orderkey * 10 + 2 ELSE l_orderkey * 10 + l_linenumber END "
+    "AS BIGINT) AS id, l_orderkey * 10 + l_linenumber AS line, "
+    "CASE l_linenumber WHEN 4 THEN 'many' ELSE CAST(l_partkey AS {text}) END AS part, "
+    "CASE l_linenumber WHEN 5 THEN 70000 WHEN 6 THEN -1 ELSE 1 END AS size FROM lineitem"
+)
+
+
+@_query(
+    "SELECT 'Line' AS name, reason, line FROM (SELECT line, CASE WHEN part = 'many' THEN 'lost_cell' WHEN id IS NULL THEN "
+    "'null_key' WHEN size NOT BETWEEN 0 AND 65535 THEN 'out_of_range' WHEN count(*) OVER (PARTITION BY id) > 1 THEN "
+    f"'repeated_key' END AS reason FROM ({_FAULTY_LINES.format(text='VARCHAR')})) WHERE reason IS NOT NULL "
+    f"UNION ALL SELECT '{BUILDING_PLACED}', 'no_source', o_orderkey FROM orders WHERE o_custkey NOT IN "
+    "(SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"
+)
+def rejected_rows(spark, sf_dir):
+    spark.sql(_FAULTY_LINES.format(text="STRING")).createOrReplaceTempView("faulty_lines")
+    types = {"id": INT64, "line": INT64, "part": INT64, "size": "DT_UNSIGNED_INT16"}
+    line = VertexType("Line", tuple(Property(p, t) for p, t in types.items()), ("id",))
+    mapping = VertexMapping("Line", ("faulty_lines",), tuple(ColumnMapping(p, p) for p in types))
+    schema, spec = table_schema(), table_spec(["BuildingCustomer", "Order"], [BUILDING_PLACED])
+    schema = replace(schema, vertex_types=(*schema.vertex_types, line))
+    spec = replace(spec, vertices=(*spec.vertices, mapping))
+    path = Scratch(spark).path
+    load_graph(spark, schema, spec, path, LoadOptions(on_error="reject", vertex_chunk_size=VERTEX_CHUNK))
+    graph = StoredGraph(spark, path)
+
+    def rejected(name, key: str) -> DataFrame:
+        number = F.get_json_object("raw", f"$.{key}").cast("bigint").alias("line")
+        return graph.rejected(name).select(F.lit(str(name)).alias("name"), "reason", number)
+
+    return rejected("Line", "line").unionByName(rejected(BUILDING_PLACED, "dst"))
+
+
 @_query(_offsets_sql("customer", "c_nationkey", "nation", "n_nationkey"))
 def graph_roundtrip_offsets(spark, sf_dir):
     return _loaded(spark, [LIVES_IN]).offsets(LIVES_IN, "destination")

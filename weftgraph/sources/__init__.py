@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weftgraph.functions.types import cast_to, quoted, spark_type
-from weftgraph.sources.files import input_path, parsed_cells, read_columnar, read_csv
+from weftgraph.sources.files import MALFORMED, input_path, parsed_cells, read_columnar, read_csv
 from weftgraph.sources.tables import read_table
 from weftgraph.spec import DataSource, FieldPlan
 
@@ -43,18 +43,26 @@ def is_csv(source: DataSource) -> bool:
 
 
 def side_by_side(
-    spark: SparkSession, source: DataSource, inputs: Sequence[str], fields: Sequence[FieldPlan]
+    spark: SparkSession, source: DataSource, inputs: Sequence[str], fields: Sequence[FieldPlan], malformed: bool = False
 ) -> DataFrame:
-    """The inputs as structs ``raw``, cells as the source holds them, and ``typed``, null where they do not fit."""
-    uncast = read_uncast(spark, source, inputs, fields)
+    """The inputs as structs ``raw``, cells as the source holds them, and ``typed``, null where they do not fit.
+
+    ``malformed`` adds a column ``line``: the whole line of a CSV row that does not have
+    the cells of its file, else null.
+    """
+    uncast, line = read_uncast(spark, source, inputs, fields, malformed), []
+    if malformed:
+        found = uncast[MALFORMED] if is_csv(source) else F.lit(None).cast("string")
+        line = [found.alias("line")]
     raw = F.struct(*[quoted(f.name) for f in fields]).alias("raw")
     if is_csv(source):
-        both = uncast.select(raw, parsed_cells({f.name: quoted(f.name) for f in fields}, fields, source.options).alias("p"))
+        parsed = parsed_cells({f.name: quoted(f.name) for f in fields}, fields, source.options).alias("p")
+        both = uncast.select(raw, parsed, *line)
         typed = [F.col("p").getField(f"c{i}").alias(f.name) for i, f in enumerate(fields)]
-        return both.select("raw", F.struct(*typed).alias("typed"))
+        return both.select("raw", F.struct(*typed).alias("typed"), *both.columns[2:])
     kinds = {part.name: part.dataType for part in uncast.schema}
     typed = [cast_to(quoted(f.name), kinds[f.name], f.type, "null").alias(f.name) for f in fields]
-    return uncast.select(raw, F.struct(*typed).alias("typed"))
+    return uncast.select(raw, F.struct(*typed).alias("typed"), *line)
 
 
 def strict_cells(
@@ -71,17 +79,17 @@ def strict_cells(
 
 
 def read_uncast(
-    spark: SparkSession, source: DataSource, inputs: Sequence[str], fields: Sequence[FieldPlan]
+    spark: SparkSession, source: DataSource, inputs: Sequence[str], fields: Sequence[FieldPlan], malformed: bool = False
 ) -> DataFrame:
     """UNION ALL of the inputs under their final names, with the cells as the source holds them."""
-    frames = []
+    frames, more = [], [MALFORMED] if malformed and is_csv(source) else []
     for name in inputs:
-        if source.kind == "file" and source.file_format == "csv":
+        if is_csv(source):
             path = input_path(source.location, name)
-            frame = read_csv(spark, [path], fields, source.options, as_text=True)
+            frame = read_csv(spark, [path], fields, source.options, as_text=True, malformed=malformed)
         else:
             frame = read_source(spark, source, name, fields)
-        frames.append(frame.select(*[quoted(f.column).alias(f.name) for f in fields]))
+        frames.append(frame.select(*[quoted(f.column).alias(f.name) for f in fields], *more))
     return reduce(DataFrame.unionByName, frames)
 
 

@@ -14,6 +14,8 @@ from weftgraph.functions.types import quoted, spark_type
 from weftgraph.spec import FieldPlan
 
 PLACEHOLDER = "_unmapped_"
+# Spark only looks for rows of the wrong width where a column of this name is read.
+MALFORMED = "_corrupt_record"
 
 
 def input_path(location: str, name: str) -> str:
@@ -26,12 +28,15 @@ def read_csv(
     fields: Sequence[FieldPlan],
     options: Mapping[str, str],
     as_text: bool = False,
+    malformed: bool = False,
 ) -> DataFrame:
     """Scan CSV files under the declared types, without inference.
 
     Columns bind by position: by the mapping's ``index`` where the indexes are
     all different, else in mapping order. Header names are not compared.
-    ``as_text`` reads every cell as text, for the check of lost cells.
+    ``as_text`` reads every cell as text, for the check of lost cells. ``malformed`` adds
+    a column ``MALFORMED`` with the whole line where a row has more or fewer cells than
+    the first line of its file, as after a quote that is not closed; else it is null.
     """
     types = {f.column: {spark_type(g.type) for g in fields if g.column == f.column} for f in fields}
     fields = list({f.column: f for f in fields}.values())
@@ -41,10 +46,20 @@ def read_csv(
         for at, f in zip(positions(fields), fields)
     }
     width = max(declared, default=-1) + 1
+    if malformed:
+        options = {**options, "mode": "PERMISSIVE"}
+        width = max([width, *[len(csv_reader(spark, options).csv(path).columns) for path in paths[:1]]])
     gaps = (T.StructField(f"{PLACEHOLDER}{i}", T.StringType()) for i in range(width))
     schema = T.StructType([declared.get(i, gap) for i, gap in enumerate(gaps)])
+    if malformed:
+        schema.add(MALFORMED, T.StringType())
     frame = csv_reader(spark, options).schema(schema).csv(list(paths))
-    return frame.select(*[quoted(f.column) for f in fields])
+    if not malformed:
+        return frame.select(*[quoted(f.column) for f in fields])
+    # Spark misses such rows where it reads some of the cells only, so the line is tied to all of them.
+    some_cell = F.coalesce(*[quoted(part.name) for part in schema if part.name != MALFORMED])
+    line = F.when(F.col(MALFORMED).isNotNull() | some_cell.isNull(), F.col(MALFORMED))
+    return frame.select(*[quoted(f.column) for f in fields], line.alias(MALFORMED))
 
 
 def positions(fields: Sequence[FieldPlan]) -> list[int]:
