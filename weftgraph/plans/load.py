@@ -259,13 +259,17 @@ def verify_edges(
         again = range_starts(read_chunks(spark, edge_path(path, triplet, direction), file_format, columns))
         if not (starts.exceptAll(again).isEmpty() and again.exceptAll(starts).isEmpty()):
             raise UnstableSourceError(f"{triplet} by {direction}: the files do not hold the ranges that were written")
-    by_chunk = starts.groupBy("vertex_chunk").agg(F.sum("rows").alias("n"), F.bool_and("whole").alias("whole"))
     offset_path = edge_path(path, triplet, direction, "_offsets")
-    closing = read_chunks(spark, offset_path, file_format, OFFSET_COLUMNS).groupBy("vertex_chunk")
-    both = by_chunk.join(closing.agg(F.max("offset").alias("end")), "vertex_chunk", "full")
-    n = F.coalesce("n", F.lit(0))
-    whole = (n == F.coalesce("end", F.lit(-1))) & F.coalesce("whole", F.lit(True))
-    rows, damaged = both.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(~whole)).first()
+    closing = read_chunks(spark, offset_path, file_format, OFFSET_COLUMNS)
+    none = F.lit(None).cast("bigint")
+    both = starts.select("vertex_chunk", "rows", "whole", none.alias("end")).unionByName(
+        closing.select("vertex_chunk", none.alias("rows"), F.lit(True).alias("whole"), F.col("offset").alias("end"))
+    )
+    by_chunk = both.groupBy("vertex_chunk").agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("n"), F.max("end").alias("end"), F.bool_and("whole").alias("whole")
+    )
+    is_damaged = ~(F.col("whole") & (F.col("n") == F.coalesce("end", F.lit(-1))))
+    rows, damaged = by_chunk.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(is_damaged)).first()
     if rows != total or damaged:
         raise UnstableSourceError(f"{triplet} by {direction}: {rows} edges written of {total}, {damaged} chunks damaged")
 
