@@ -54,7 +54,9 @@ def numbered(
     counts = placed.groupBy("range", "group").agg(F.count(F.lit(1)).alias("rows"))
     in_earlier_ranges = Window.partitionBy("group").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     of_earlier_groups = Window.partitionBy("range").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
-    shift = _rows(in_earlier_ranges) - _rows(of_earlier_groups)
+    shift = _rows(in_earlier_ranges)
+    if within:
+        shift -= _rows(of_earlier_groups)
     # Written, so that Spark knows its size when it plans the join: one row per range, and one more per group.
     shifts = scratch.keep(counts.select("range", F.col("group").alias("of"), shift.alias("shift")), "shifts")
     same = (placed["range"] == shifts["range"]) & placed["group"].eqNullSafe(shifts["of"])
