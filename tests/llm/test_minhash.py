@@ -12,8 +12,8 @@ from weftgraph.llm import minhash, queries
 from weftgraph.scratch import Scratch
 
 
-def near(spark, rows, schema="doc_id bigint, text string", **options):
-    frame = spark.createDataFrame(rows, schema)
+def near(spark, docs, schema="doc_id bigint, text string", **options):
+    frame = spark.createDataFrame(docs, schema)
     return [tuple(r) for r in minhash.near_duplicates(frame, Scratch(spark), **options).collect()]
 
 

@@ -13,18 +13,22 @@ pairs above with less.
 1. Equal sets are one class; only classes go on.
 2. Of the classes of a band, each is compared with the one that shares most bands with
    others, so a group of near copies costs as many comparisons as it has members.
-3. What is connected by then needs no further comparison. In the bands that are left,
-   every class outside the band's largest component is compared with all others whose
+3. What is connected by then needs no further comparison. Each class is below the class of
+   highest rank that it was compared with; such a tree is a group. In a group that is not
+   all connected every class outside its largest part is compared with all others of the
+   group, whole blocks of sets at a time: no pair is listed but those that link.
+4. In the bands that are left, classes of different groups are compared where their
    signatures agree as often as linked ones do.
-4. Pairs are verified in blocks: classes are numbered in the order of the class they were
-   compared with, and a task gets the sets of two blocks of ``BLOCK`` numbers at a time,
-   once, for all pairs between them. A set of more than ``LARGE`` shingles is a block alone.
+
+Sets meet in blocks: a task gets those of two blocks at a time, once, for all
+comparisons between them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -44,7 +48,10 @@ SEEDS = (0x5DEECE66D, 0x27BB2EE687B0B0FD)
 # Signatures are also compared by one bit of each of so many coordinates.
 BITS = 128
 BLOCK, LARGE = 256, 1 << 13
+# A block in a group holds fewer sets where they are so large that their shingles would be more than this.
+BLOCK_SHINGLES = 1 << 21
 SALTS = 32
+TABLE_BITS = 26
 # Rows of a band that one task compares with all others of it.
 ROWS_AT_ONCE = 512
 
@@ -133,22 +140,37 @@ def _rows(batch: pa.RecordBatch, at: list[int], found: list[tuple]) -> pa.Record
     return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), *arrays], names=names)
 
 
-def _packed_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """The full sets of rows (id, text, set) whose digest is the given one: set, tokens."""
+def _table_of(ids: DataFrame) -> np.ndarray:
+    """A table of bits with those of the ids set: 16 for each id, 2^TABLE_BITS at most, so 8 MB whatever the corpus holds.
+
+    Where there are too many ids for it, more rows pass than need to.
+    """
+    bits = min(max((ids.count() * 16 - 1).bit_length(), 6), TABLE_BITS)
+    bit = F.crc32(F.col("id").cast("string").cast("binary")).bitwiseAND(F.lit((1 << bits) - 1))
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), (bit % 64).cast("int"))
+    words = ids.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(one).alias("bits")).toArrow()
+    table = np.zeros(1 << (bits - 6), dtype=np.int64)
+    table[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return np.unpackbits(table.view(np.uint8), bitorder="little")
+
+
+def _sets_of(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
+    """The full sets of the rows (id, text) with one of the ids, and perhaps of some more: class, tokens."""
+    wanted = docs.sparkSession.sparkContext.broadcast(np.packbits(_table_of(ids), bitorder="little"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.unpackbits(wanted.value, bitorder="little")
         for batch in batches:
-            wanted = batch.column(2).to_pylist()
-            digests, packs = [], []
-            for row, tokens in _sets(batch, 1, shingle):
-                if len(tokens) and xxh3_128_digest(tokens.tobytes()) == wanted[row]:
-                    digests.append(wanted[row])
-                    packs.append(tokens.tobytes())
+            signs = np.array([crc32(str(i).encode()) for i in batch.column(0).to_pylist()], dtype=np.int64)
+            chosen = np.flatnonzero(table[signs & (len(table) - 1)])
+            found = [t for _, t in _sets(batch.take(pa.array(chosen)), 1, shingle) if len(t)]
+            packs = [t.tobytes() for t in found]
+            digests = [xxh3_128_digest(p) for p in packs]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(digests, type=pa.binary()), pa.array(packs, type=pa.binary())], names=["set", "tokens"]
+                [pa.array(digests, type=pa.binary()), pa.array(packs, type=pa.binary())], names=["class", "tokens"]
             )
 
-    return docs.mapInArrow(run, "set binary, tokens binary")
+    return docs.mapInArrow(run, "class binary, tokens binary")
 
 
 def least_bits(percent: int) -> int:
@@ -184,7 +206,7 @@ def _side(rows: DataFrame, name: str, *more: str) -> list[Column]:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of numbers whose full sets link."""
+    """The pairs (a, b) of numbers whose full sets link. A set of more than ``LARGE`` shingles is a block alone."""
     blocked = pairs.join(sets.select(F.col("no").alias("a"), F.col("block").alias("block_a")), "a")
     blocked = blocked.join(sets.select(F.col("no").alias("b"), F.col("block").alias("block_b")), "b")
     blocked = blocked.select("block_a", "block_b", "a", "b")
@@ -213,6 +235,79 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return blocked.groupBy("block_a", "block_b").cogroup(needed.groupBy("one", "other")).applyInPandas(compare, "a bigint, b bigint")
 
 
+def _roots(pairs: DataFrame, scratch: Scratch) -> DataFrame:
+    """The top of each class's tree: no, root. Of ``pairs`` (a, b, degree of b) a class's best one says what it is below.
+
+    Ways double with each join, and pairs lead to higher ranks only, so they end.
+    """
+    best = pairs.groupBy(F.col("a").alias("no")).agg(F.max(F.struct("degree", "b")).alias("best"))
+    way = scratch.keep(best.select("no", F.col("best.b").alias("root")), "ways")
+    while True:
+        on = way.select(F.col("no").alias("root"), F.col("root").alias("next"))
+        longer = scratch.keep(way.join(on, "root", "left").select("no", F.coalesce("next", "root").alias("root"), "next"), "ways")
+        way = longer.drop("next")
+        if longer.where("next IS NOT NULL").isEmpty():
+            return way
+
+
+def _links_in_groups(classes: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Links (a, b) between classes (no, size, component, group) of different components of a group.
+
+    A group's classes are numbered, those outside its largest component first. Blocks of
+    consecutive classes hold at most ``BLOCK`` of them, and fewer of large ones; every
+    block with classes outside meets every later block and itself in one task.
+    """
+    parts = classes.groupBy("group", "component").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("top"))
+    opened = parts.groupBy("group").agg(
+        F.max(F.struct("n", "component")).alias("main"),
+        F.sum("n").alias("all"),
+        F.max("top").alias("top"),
+        F.count(F.lit(1)).alias("parts"),
+    )
+    width = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.lit(BLOCK_SHINGLES) / F.col("top")))).cast("bigint")
+    opened = opened.where("parts > 1").select(
+        "group", F.col("main.component").alias("main"), (F.col("all") - F.col("main.n")).alias("outsiders"), "all", width.alias("width")
+    )
+    opened = scratch.keep(opened, "open_groups")
+    members = classes.join(opened, "group").withColumn("inside", F.col("component") == F.col("main")).drop("main", "size")
+    ranked = numbered(scratch.keep(members, "members"), ["group", "inside", "no"], "place", scratch, within="group")
+    block = F.floor(F.col("place") / F.col("width"))
+    last, last_outside = (F.floor((F.col(c) - 1) / F.col("width")) for c in ("all", "outsiders"))
+    ranked = ranked.select("group", "no", "place", "component", "inside", block.alias("block"), last.alias("last"), last_outside.alias("last_outside"))
+    ranked = scratch.keep(ranked, "ranked")
+    # All classes of a later or the same block, and those outside of an earlier block.
+    later = ranked.withColumn("one", F.explode(F.sequence(F.lit(0).cast("bigint"), F.least("block", "last_outside"))))
+    later = later.withColumn("other", F.col("block"))
+    ahead = ranked.where(~F.col("inside") & (F.col("block") < F.col("last")))
+    ahead = ahead.withColumn("one", F.col("block")).withColumn("other", F.explode(F.sequence(F.col("block") + 1, F.col("last"))))
+    meeting = later.unionByName(ahead).select("group", "one", "other", "no", "place", "component", "inside", "block")
+    meeting = meeting.join(sets.select("no", "tokens"), "no")
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("place", kind="stable")
+        packs = [np.frombuffer(t, dtype=np.uint64) for t in rows["tokens"]]
+        distinct, dense = np.unique(np.concatenate(packs), return_inverse=True)
+        sizes = np.array([len(p) for p in packs])
+        ends = np.cumsum(sizes)
+        numbers, parts = rows["no"].to_numpy(), rows["component"].to_numpy()
+        first = (rows["block"] == rows["one"]).to_numpy() & ~rows["inside"].to_numpy()
+        second = np.flatnonzero((rows["block"] == rows["other"]).to_numpy())
+        begin = ends[second[0]] - sizes[second[0]]
+        starts, tail = ends[second] - sizes[second] - begin, dense[begin:]
+        mark, kept = np.zeros(len(distinct), dtype=bool), []
+        for i in np.flatnonzero(first):
+            own = dense[ends[i] - sizes[i] : ends[i]]
+            mark[own] = True
+            shared = np.add.reduceat(mark[tail], starts, dtype=np.int64)
+            mark[own] = False
+            union = sizes[i] + sizes[second] - shared
+            linked = (100 * shared >= percent * union) & (second > i) & (parts[second] != parts[i])
+            kept += [(max(numbers[i], numbers[j]), min(numbers[i], numbers[j])) for j in second[linked]]
+        return pd.DataFrame(kept, columns=["a", "b"])
+
+    return meeting.groupBy("group", "one", "other").applyInPandas(compare, "a bigint, b bigint")
+
+
 def near_duplicates(
     docs: DataFrame,
     scratch: Scratch,
@@ -290,7 +385,7 @@ def _components(source: DataFrame, scanned: DataFrame, scratch: Scratch, shingle
     centres = ranked.groupBy("key", "members").agg(F.max(F.struct("degree", "class")).alias("centre"))
     by_class = F.xxhash64("class")
     placed = _dealt(ranked, by_class).join(_copied(centres).drop("members"), ["key", "piece"])
-    placed = scratch.keep(placed.select("key", "class", "members", "centre"), "placed")
+    placed = scratch.keep(placed.select("key", "class", "members", "degree", "centre"), "placed")
 
     # Numbers in the order of the centre that a class is compared with, so that pairs fall into few blocks.
     candidates = placed.groupBy("class").agg(F.max("centre").alias("centre"))
@@ -299,41 +394,48 @@ def _components(source: DataFrame, scanned: DataFrame, scratch: Scratch, shingle
     candidates = scratch.keep(numbered(scratch.keep(candidates, "candidates"), ["near", "class"], "no", scratch), "numbers")
     large = F.col("size") > LARGE
     block = F.when(large, -F.col("no") - 1).otherwise(F.floor(F.col("no") / BLOCK))
-    texts = source.join(candidates.select(F.col("first").alias("id"), F.col("class").alias("set")), "id")
-    packs = _packed_sets(texts.select("id", "text", "set"), shingle).groupBy(F.col("set").alias("class")).agg(F.first("tokens").alias("tokens"))
-    sets = scratch.keep(candidates.select("class", "no", block.alias("block")).join(packs, "class").drop("class"), "sets")
+    packs = _sets_of(source.where("id IS NOT NULL"), candidates.select(F.col("first").alias("id")), shingle)
+    packs = packs.groupBy("class").agg(F.first("tokens").alias("tokens"))
+    sets = packs.join(candidates.select("class", "no", block.alias("block")), "class").drop("class")
+    sets = scratch.keep(sets, "sets")
 
     known = scratch.keep(placed.join(candidates.drop("near", "first"), "class"), "known")
     centre = known.where(F.col("centre.class") == F.col("class"))
     known = known.drop("class", "centre")
     stars = _dealt(known, F.col("no")).select("piece", *_side(known, "a")).join(
-        _copied(centre).select("piece", *_side(centre, "b")), ["key", "piece"]
+        _copied(centre).select("piece", F.col("degree").alias("degree_b"), *_side(centre, "b")), ["key", "piece"]
     )
+    # A band's centre has the highest rank in it, so pairs lead from a class to one above it.
     stars = stars.where((F.col("no_a") != F.col("no_b")) & _may_link(percent))
-    stars = stars.select(F.greatest("no_a", "no_b").alias("a"), F.least("no_a", "no_b").alias("b")).distinct()
+    stars = stars.groupBy(F.col("no_a").alias("a"), F.col("no_b").alias("b")).agg(F.max("degree_b").alias("degree"))
     stars = scratch.keep(stars, "pairs")
-    links = scratch.keep(_verified(stars, sets, percent), "links")
-    connected = scratch.keep(components(links, scratch), "connected")
-
-    # Bands whose classes are not all connected.
-    labelled = known.join(connected.withColumnRenamed("node", "no"), "no", "left")
-    labelled = scratch.keep(labelled.withColumn("component", F.coalesce("component", "no")), "labelled")
+    links = scratch.keep(_verified(stars.select("a", "b"), sets, percent), "links")
+
+    # What was compared is one group, what linked is connected: trees of classes below their centres.
+    groups = _roots(stars, scratch).withColumnRenamed("root", "group")
+    connected = _roots(links.join(stars, ["a", "b"]), scratch).withColumnRenamed("root", "component")
+    grouped = candidates.select("no", "size").join(connected, "no", "left").join(groups, "no", "left")
+    grouped = grouped.select("no", "size", F.coalesce("component", "no").alias("component"), F.coalesce("group", "no").alias("group"))
+    grouped = scratch.keep(grouped, "grouped")
+    inside = _links_in_groups(grouped, sets, percent, scratch)
+
+    # Bands with classes of several components.
+    labelled = scratch.keep(known.join(grouped.drop("size"), "no"), "labelled")
     parts = labelled.groupBy("key", "members", "component").agg(F.count(F.lit(1)).alias("n"))
     main = parts.groupBy("key", "members").agg(F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
     main = _copied(main.where("parts > 1").select("key", "members", F.col("main.component").alias("main")))
     opened = _dealt(labelled, F.col("no")).join(main.drop("members"), ["key", "piece"]).drop("piece")
-    opened = scratch.keep(opened.withColumn("outside", F.col("component") != F.col("main")).drop("main"), "open")
+    opened = scratch.keep(opened.withColumn("outside", F.col("component") != F.col("main")).drop("main", "degree"), "open")
     # Each class outside is compared with all classes of its band; large bands in several tasks.
     outside = _dealt(opened.where("outside"), F.col("no"))
-    outside = outside.select("piece", *_side(outside, "a", "component"))
+    outside = outside.select("piece", *_side(outside, "a", "component", "group"))
     others = _copied(opened)
-    others = others.select("piece", *_side(others, "b", "component", "outside"))
+    others = others.select("piece", *_side(others, "b", "component", "group", "outside"))
     once = (F.col("no_a") > F.col("no_b")) | ~F.col("outside_b")
-    apart = F.col("component_a") != F.col("component_b")
+    apart = (F.col("component_a") != F.col("component_b")) & (F.col("group_a") != F.col("group_b"))
     crossing = outside.join(others, ["key", "piece"]).where(apart & once & _may_link(percent))
     crossing = crossing.select(F.greatest("no_a", "no_b").alias("a"), F.least("no_a", "no_b").alias("b")).distinct()
-    crossing = scratch.keep(crossing.join(stars, ["a", "b"], "left_anti"), "pairs")
-    more = _verified(crossing, sets, percent)
+    more = _verified(scratch.keep(crossing, "pairs"), sets, percent).unionByName(inside)
 
     all_links = scratch.keep(links.unionByName(more), "links")
     firsts = candidates.select("no", "first")
