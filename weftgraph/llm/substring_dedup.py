@@ -209,8 +209,8 @@ def substring_dedup(
         ranges = ranges.select(
             "id", "even", first.cast("int").alias("first"), (first + F.col("windows") % width).cast("int").alias("last")
         )
-        # At most one range for each anchor of a document: a list no longer than the document.
-        of_document = ranges.groupBy("id").agg(F.collect_list(F.struct("first", "last", "even")).alias("ranges"))
+        # At most one range for each anchor of a text, and as a set once for all rows that repeat an id and text.
+        of_document = ranges.groupBy("id").agg(F.collect_set(F.struct("first", "last", "even")).alias("ranges"))
         texts = grams.packed(source).join(of_document, "id", "left").select("id", "pack", "ranges")
         settled = _settled(texts, width, as_digest)
         settled.write.option("compression", "zstd").parquet(folder)
@@ -220,7 +220,8 @@ def substring_dedup(
     windows = pending.select("id", F.inline(F.arrays_zip("hi", "lo", "at")))
     repeated = windows.groupBy("hi", "lo").agg(F.min("id").alias("least"), F.max("id").alias("most"))
     repeated = windows.join(repeated.where("least < most").drop("most"), ["hi", "lo"]).where("id > least")
-    starts = repeated.groupBy("id").agg(F.collect_list("at").alias("starts"))
+    # Rows that repeat an id have the same starts, so these are a set.
+    starts = repeated.groupBy("id").agg(F.collect_set("at").alias("starts"))
     last = pending.select("id", "pack", "spans").join(starts, "id", "left").select("id", "pack", "spans", "starts")
     finished = settled.where("pack IS NULL").select(*_NAMES).unionByName(_completed(last, width, as_digest))
     return finished.withColumnRenamed("id", id_column)
