@@ -313,8 +313,9 @@ def suffix_dedup(
         still_open = _narrowed(ranges.where("NOT even"), (width - gram) // 2)
         even = ranges.where("even").select(*still_open.drop("n").columns, F.lit(1).cast("bigint").alias("n"))
         one = F.struct("anchor", "n", "first", "last", "even")
-        # At most one range for each anchor of a document: a list no longer than the document.
-        of_document = even.unionByName(still_open).groupBy("id", "print").agg(F.collect_list(one).alias("ranges"))
+        # At most one range for each anchor of a text, and as a set once for all rows of the same id and text: no
+        # longer than the text.
+        of_document = even.unionByName(still_open).groupBy("id", "print").agg(F.collect_set(one).alias("ranges"))
         joined = _with_print(source).join(of_document, ["id", "print"], "left")
         split_up = joined.select(
             "id",
@@ -350,7 +351,8 @@ def suffix_dedup(
     spans = spans.select("id", "print", F.col("first"), F.explode(_runs("starts")).alias("run"))
     start = F.col("first") + F.col("run.start")
     end = F.col("first") + F.col("run.end") + (width - 1)
-    spans = spans.groupBy("id", "print").agg(F.collect_list(F.struct(start.alias("start"), end.alias("end"))).alias("more"))
+    # Rows of the same id and text have the same spans, so these are a set.
+    spans = spans.groupBy("id", "print").agg(F.collect_set(F.struct(start.alias("start"), end.alias("end"))).alias("more"))
     nothing = F.from_json(F.lit("[]"), "array<struct<start:int,end:int>>")
     last = texts.select("id", "print", "text", "even").join(spans, ["id", "print"], "left")
     last = last.select("id", "text", F.concat(F.coalesce("even", nothing), F.coalesce("more", nothing)).alias("ranges"))
