@@ -92,7 +92,8 @@ def _induced_by_arrays(symbols: np.ndarray, alphabet: int, small: np.ndarray, le
         if not len(places):
             return
         own = symbols[places]
-        order = np.argsort(own, kind="stable")
+        # Numbers of 16 bits are sorted by their digits.
+        order = np.argsort(own.astype(np.uint16) if alphabet <= 1 << 16 else own, kind="stable")
         own, places = own[order], places[order]
         new = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
         counts = np.diff(np.append(new, len(own)))
@@ -141,32 +142,37 @@ def _induced_by_arrays(symbols: np.ndarray, alphabet: int, small: np.ndarray, le
 
 def _induced_one_by_one(symbols: np.ndarray, alphabet: int, small: np.ndarray, leftmost: np.ndarray) -> np.ndarray:
     n = len(symbols)
-    text, is_small = symbols.tolist(), small.tolist()
     sizes = np.bincount(symbols, minlength=alphabet)
     ends = np.cumsum(sizes)
-    found = [-1] * n
+    text, found = symbols.tolist(), [-1] * n
     tails = ends.tolist()
     for place in reversed(leftmost.tolist()):
-        symbol = text[place]
-        tails[symbol] -= 1
-        found[tails[symbol]] = place
+        at = tails[text[place]] - 1
+        tails[text[place]] = at
+        found[at] = place
     heads = (ends - sizes).tolist()
-    last = text[n - 1]
-    found[heads[last]] = n - 1
-    heads[last] += 1
-    for at in range(n):
-        place = found[at] - 1
-        if place >= 0 and not is_small[place]:
-            symbol = text[place]
-            found[heads[symbol]] = place
-            heads[symbol] += 1
-    tails = ends.tolist()
-    for at in range(n - 1, -1, -1):
-        place = found[at] - 1
-        if place >= 0 and is_small[place]:
-            symbol = text[place]
-            tails[symbol] -= 1
-            found[tails[symbol]] = place
+    found[heads[text[n - 1]]] = n - 1
+    heads[text[n - 1]] += 1
+    # For each place the symbol before it if the suffix there is of the kind that is induced; the last stands for none.
+    before = np.concatenate([[-1], symbols[:-1], [-1]])
+    larger, smaller = before.copy(), before
+    larger[1:n][small[: n - 1]] = -1
+    smaller[1:n][~small[: n - 1]] = -1
+    induced = larger.tolist()
+    # What is put further on comes up in the same pass.
+    for place in found:
+        symbol = induced[place]
+        if symbol >= 0:
+            at = heads[symbol]
+            heads[symbol] = at + 1
+            found[at] = place - 1
+    tails, induced = ends.tolist(), smaller.tolist()
+    for place in reversed(found):
+        symbol = induced[place]
+        if symbol >= 0:
+            at = tails[symbol] - 1
+            tails[symbol] = at
+            found[at] = place - 1
     return np.array(found, dtype=np.int64)
 
 
