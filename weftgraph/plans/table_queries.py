@@ -15,6 +15,7 @@ from weftgraph.operators.adjacency import adjacency, keep_edges, offsets
 from weftgraph.operators.endpoints import dangling_edges, heavy_keys, resolved_edges
 from weftgraph.operators.index import chunk_of, key_index, vertex_index
 from weftgraph.operators.mapping import edge_frame, vertex_frame
+from weftgraph.operators.ranking import numbered
 from weftgraph.plans.check import check_sources, malformed_rows
 from weftgraph.plans.load import LoadOptions, load_edges, load_graph, load_vertices
 from weftgraph.plans.table_graph import EDGES, INT64, VERTICES, register_tables, table_schema, table_spec
@@ -469,7 +470,12 @@ def vertex_index_in_ranges(spark, sf_dir):
 
 @_query("SELECT url, page_id AS page, CAST(row_number() OVER (ORDER BY url) - 1 AS BIGINT) AS vid FROM pages")
 def vertex_index_text_key(spark, sf_dir):
-    return _indexed(spark, "Page")
+    # The SQL numbers every row, and urls of pages repeat: no uniqueness is asked of the key.
+    # Nulls last as in ORDER BY url; pages of one url in the order of their page.
+    vertex = vertex_frame(spark, table_schema(), table_spec(["Page"]), "Page")
+    frame = vertex.frame.withColumn("url_is_null", F.col(vertex.key).isNull())
+    indexed = numbered(frame, ["url_is_null", vertex.key, "page"], "vid", Scratch(spark))
+    return indexed.drop("url_is_null")
 
 
 @_query(
