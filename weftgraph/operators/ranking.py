@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec, functions as F
 
 from weftgraph.functions.types import quoted
 from weftgraph.scratch import Scratch
@@ -21,6 +21,28 @@ ROWS_PER_RANGE = 1 << 20
 PLACE_IN_PARTITION = (1 << 33) - 1
 
 
+def dealt_ranges(spark: SparkSession, total: int, rows_per_range: int | None = None) -> tuple[int, int, int]:
+    """Partitions, ranges in each and rows in a range for ``total`` rows.
+
+    Each range has a task of its own while there are no more ranges than shuffle
+    partitions and each holds ROWS_PER_RANGE rows at least; beyond that, a task
+    takes several consecutive ranges, so that small ranges do not make tasks without end.
+    """
+    size = rows_per_range or ROWS_PER_RANGE
+    ranges = max(1, -(-total // size))
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-total // ROWS_PER_RANGE))
+    parts = min(ranges, most)
+    return parts, -(-ranges // parts), size
+
+
+def with_ranges(frame: DataFrame, each: int, size: int, in_range: str = "range", place: str = "place") -> DataFrame:
+    """Add each row's range and place in it, by its place in its partition; a partition's last range takes what is over."""
+    at = frame.withColumn(place, F.monotonically_increasing_id().bitwiseAND(F.lit(PLACE_IN_PARTITION)))
+    within = F.least(F.floor(quoted(place) / F.lit(size)), F.lit(each - 1))
+    ranged = (F.spark_partition_id().cast("bigint") * F.lit(each) + within).cast("int")
+    return at.select("*", ranged.alias(in_range)).withColumn(place, quoted(place) - within * F.lit(size))
+
+
 def numbered(
     frame: DataFrame,
     order: Sequence[str],
@@ -40,15 +62,14 @@ def numbered(
     """
     if total is None:
         total = frame.count()
-    ranges = max(1, -(-total // (rows_per_range or ROWS_PER_RANGE)))
+    parts, each, size = dealt_ranges(frame.sparkSession, total, rows_per_range)
     # The caller's columns stay inside one struct, out of the way of the helper columns.
     rows = frame.select(F.struct(*[quoted(c) for c in frame.columns]).alias("row"))
     keys = [F.col("row").getField(c) for c in order]
-    ordered = rows.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit(PLACE_IN_PARTITION))
+    ordered = rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
     group = F.col("row").getField(within) if within else F.lit(0)
     placed = scratch.keep(
-        ordered.select("row", F.spark_partition_id().alias("range"), place.alias("place"), group.alias("group")),
+        with_ranges(ordered, each, size).select("row", "range", "place", group.alias("group")),
         "placed",
     )
     counts = placed.groupBy("range", "group").agg(F.count(F.lit(1)).alias("rows"))
