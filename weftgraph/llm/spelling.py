@@ -168,7 +168,8 @@ def near_words(words: DataFrame, known: Dictionary) -> DataFrame:
         & (F.bit_count(F.col("letters_a").bitwiseXOR(F.col("letters_b"))) <= 2)
         & (F.levenshtein("word_a", "word_b", 1) == 1)
     )
-    pairs = one.join(other, "key").where(close).select("word_a", "n_a", "word_b", "n_b").distinct()
+    # Words become lists of many rows, which Spark does not count: it would take the lists for small enough to broadcast.
+    pairs = one.join(other.hint("merge"), "key").where(close).select("word_a", "n_a", "word_b", "n_b").distinct()
     both = [
         pairs.select(
             F.col(f"word_{x}").alias("word"), F.col(f"n_{x}").alias("n"), F.col(f"word_{y}").alias("near"), F.col(f"n_{y}").alias("near_n")
@@ -183,7 +184,7 @@ def roots(forms: DataFrame, scratch: Scratch) -> DataFrame:
     way = scratch.keep(forms.select("word", F.col("form").alias("root")), "ways")
     while True:
         on = way.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        further = scratch.keep(way.join(on, "root", "left").select("word", F.coalesce("next", "root").alias("root"), "next"), "ways")
+        further = scratch.keep(way.join(on.hint("merge"), "root", "left").select("word", F.coalesce("next", "root").alias("root"), "next"), "ways")
         way = further.drop("next")
         if further.where("next IS NOT NULL").isEmpty():
             return way
@@ -219,7 +220,8 @@ def spelling_variants(words: DataFrame, scratch: Scratch, ratio: int = 5) -> Dat
         "word", "n_near", F.when(enough, F.col("best.near")).alias("form"), F.when(enough, -F.col("best.back")).alias("form_n")
     )
     ways = roots(forms.where("form IS NOT NULL"), scratch)
-    found = kept.join(forms, "word", "left").join(ways, "word", "left")
+    # Compressed words take several times their files' size in memory, so none of these tables is broadcast either.
+    found = kept.join(forms.hint("merge"), "word", "left").join(ways.hint("merge"), "word", "left")
     return found.select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"), "form_n"
     )
