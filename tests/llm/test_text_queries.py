@@ -30,7 +30,9 @@ def test_query_agrees_with_sql(spark, duck, name):
     want = duck.sql(oracle_sql()[name])
     columns = sorted(found.columns)
     assert columns == sorted(want.columns)
-    assert sorted(tuple(r) for r in found.select(*columns).collect()) == sorted(want.select(", ".join(columns)).fetchall())
+    nulls_first = lambda row: [(v is not None, v) for v in row]
+    got = sorted((tuple(r) for r in found.select(*columns).collect()), key=nulls_first)
+    assert got == sorted(want.select(", ".join(columns)).fetchall(), key=nulls_first)
 
 
 def texts(duck):
