@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from weftgraph.functions.types import fresh, quoted
 from weftgraph.operators.index import chunk_of
-from weftgraph.operators.ranking import PLACE_IN_PARTITION, dealt_ranges
+from weftgraph.operators.ranking import PLACE_IN_PARTITION, dealt_ranges, with_ranges
 from weftgraph.scratch import Scratch
 
 # The end an arrangement is sorted by, then the other end.
@@ -41,20 +41,26 @@ def arranged(
 
     In each partition rows stand by vertex chunk and range, then by (near end, far end,
     properties); parallel edges that agree in everything are interchangeable. Written
-    by the first two columns they need no further sort.
+    by the first two columns they need no further sort, unless a task takes more than two ranges.
     """
     near, far = ENDS[by]
     properties = [c for c in edges.columns if c not in (near, far, "edge_row")]
     in_range, place = place_columns(properties)
-    parts, _, size = dealt_ranges(edges.sparkSession, total, rows_per_range)
+    parts, each, size = dealt_ranges(edges.sparkSession, total, rows_per_range)
     order = [quoted(c) for c in (near, far, *properties, "edge_row")]
-    dealt = edges.withColumn("vertex_chunk", chunk_of(near, vertex_chunk_size)).repartitionByRange(max(1, -(-total // size)), *order)
-    # A range is known before its rows are sorted, so that rows written by it are sorted once; a task takes several.
-    marked = dealt.withColumn(in_range, F.spark_partition_id()).coalesce(parts)
-    in_order = marked.sortWithinPartitions("vertex_chunk", quoted(in_range), *order)
-    at = F.monotonically_increasing_id().bitwiseAND(F.lit(PLACE_IN_PARTITION))
+    chunked = edges.withColumn("vertex_chunk", chunk_of(near, vertex_chunk_size))
+    if each > 2:
+        # Spark samples rows on the driver for each partition that it deals out, so many small ranges are told apart by place.
+        dealt = chunked.repartitionByRange(parts, *order)
+        in_order = with_ranges(dealt.sortWithinPartitions("vertex_chunk", *order), each, size, in_range, place)
+    else:
+        # Ranges known before their rows are sorted spare the writer a sort of its own.
+        dealt = chunked.repartitionByRange(max(1, -(-total // size)), *order)
+        marked = dealt.withColumn(in_range, F.spark_partition_id()).coalesce(parts)
+        in_order = marked.sortWithinPartitions("vertex_chunk", quoted(in_range), *order)
+        in_order = in_order.withColumn(place, F.monotonically_increasing_id().bitwiseAND(F.lit(PLACE_IN_PARTITION)))
     return in_order.select(
-        "vertex_chunk", quoted(in_range), at.alias(place), "src_vid", "dst_vid", *[quoted(c) for c in properties]
+        "vertex_chunk", quoted(in_range), quoted(place), "src_vid", "dst_vid", *[quoted(c) for c in properties]
     )
 
 
